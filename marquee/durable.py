@@ -25,13 +25,18 @@ def durable_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{durable_dir(spark)}/marquee-{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Against ``DataFrame.checkpoint`` the copy stays columnar: later readers
     prune columns and the file sizes give the join planner real statistics.
     """
-    path = f"{durable_dir(df.sparkSession)}/marquee-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from marquee.plans import queries_samples  # noqa: F401
+from marquee.plans import queries_features, queries_graph, queries_samples, queries_vectors  # noqa: F401
 from marquee.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
