@@ -5,7 +5,7 @@ Vectors are ``ARRAY<DOUBLE>``; everything stays inside the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,10 +23,20 @@ def vec_sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row: a column named inside
+    a lambda would be computed again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def softmax(a: Column) -> Column:
     """exp(x - max) / sum, so large inputs do not overflow."""
-    shifted = F.transform(a, lambda v: F.exp(v - F.array_max(a)))
-    return F.transform(shifted, lambda v: v / vec_sum(shifted))
+
+    def spread(row: Column) -> Column:
+        powers = F.transform(row["a"], lambda v: F.exp(v - row["m"]))
+        return once(powers, lambda e: once(vec_sum(e), lambda z: F.transform(e, lambda v: v / z)))
+
+    return once(F.struct(a.alias("a"), F.array_max(a).alias("m")), spread)
 
 
 def argmax_label(a: Column, labels: Sequence) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.encoders import bucketize_by_array
 from marquee.functions.text import split_genres
-from marquee.skew import hot_keys, salted_join
+from marquee.skew import skew_join
 
 
 def one_hot(df: DataFrame, id_col: str, out: str, drop_last: bool = False) -> DataFrame:
@@ -57,7 +57,7 @@ def class_weights(df: DataFrame, label: str, weights: dict[str, float], out: str
 def vocab_index_join(df: DataFrame, col: str, vocab: DataFrame, out: str) -> DataFrame:
     """Vocabulary as a table ``(value, index)``; -1 for unknown values (M9)."""
     words = vocab.select(F.col("value").alias(col), F.col("index").alias(out))
-    joined = salted_join(df, words, [col], hot_keys(df, [col]))
+    joined = skew_join(df, words, [col])
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
 
 

@@ -15,7 +15,7 @@ from marquee.durable import written
 from marquee.functions.encoders import stable_hash
 from marquee.operators.histories import History, next_item
 from marquee.operators.samples import POSITIVE, attach_scalar, positive_ratings, share_of_group
-from marquee.skew import HOT_ROWS, flag_hot, hot_keys, hottest, salted_join
+from marquee.skew import HOT_ROWS, flag_hot, hottest, skew_join
 
 # A hot source, and the table of all items, is summed in this many pieces.
 PIECES = 1024
@@ -129,7 +129,7 @@ def with_successor_widths(table: DataFrame, widths: DataFrame, hot_rows: int = H
     """Adds the total and width of each row's ``dst``, so a walk that arrives
     there can draw its next bucket without another lookup.  NULL at dead ends."""
     ahead = widths.select(F.col("src").alias("dst"), F.col("total").alias("next_total"), F.col("width").alias("next_width"))
-    return salted_join(table, ahead, ["dst"], hot_keys(table, ["dst"], hot_rows))
+    return skew_join(table, ahead, ["dst"], hot_rows=hot_rows)
 
 
 def draw(walk: Column, step: int, seed: int, method: str) -> Column:

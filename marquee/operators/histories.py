@@ -1,10 +1,11 @@
 """Ordered per-key operators: positions, sequences, prior statistics, recent
 items and adjacent items (A6, W1-W3, O2).
 
-All of them need "rows before this one" of a user (or a movie).  The input is
-partitioned by (key, slice): ordinary keys have one slice, hot keys one slice
-per span of time.  A small carry table (hot keys only, one row per key and
-slice) holds what earlier slices contribute.
+All of them need "rows before this one" of a user (or a movie).  Without hot
+keys that is one window per key.  Keys with too many rows for one task are cut
+into slices of time: the window then runs per (key, slice), and a small carry
+table (hot keys only, one row per key and slice) brings in what the earlier
+slices contribute.  Rows stay partitioned by (key, slice) throughout.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.skew import HOT_ROWS, SLICE, hot_keys, join_carry, per_slice_table, sliced
+from marquee.skew import HOT_ROWS, SLICE, hot_keys, sliced
 
 DAY = 86_400
 
@@ -39,44 +40,75 @@ class History:
     def order(self) -> list[str]:
         return [self.time, *self.ties]
 
-    def prepare(self, df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    def order_struct(self) -> Column:
+        return F.struct(*[F.col(c) for c in self.order])
+
+    def lay_out(self, df: DataFrame, hot: DataFrame | None = None) -> Laid:
+        """Find the hot keys (unless given) and cut them into slices."""
         if hot is None:
             hot = hot_keys(df, self.keys, self.hot_rows)
-        return sliced(df, self.keys, hot, F.floor(F.col(self.time) / self.span))
+        if hot.isEmpty():
+            return Laid(self, df, False)
+        return Laid(self, sliced(df, self.keys, hot, F.floor(F.col(self.time) / self.span)), True)
+
+
+@dataclass(frozen=True)
+class Laid:
+    """Rows ready for per-key windows; ``cut`` when some keys are sliced."""
+
+    history: History
+    df: DataFrame
+    cut: bool
+
+    @property
+    def place(self) -> list[str]:
+        return [*self.history.keys, SLICE] if self.cut else list(self.history.keys)
 
     def window(self, *extra: str) -> W:
-        return W.partitionBy(*self.keys, SLICE, *extra).orderBy(*self.order)
+        return W.partitionBy(*self.place, *extra).orderBy(*self.history.order)
 
-    def before(self) -> W:
-        return self.window().rowsBetween(W.unboundedPreceding, -1)
+    def before(self, *extra: str) -> W:
+        return self.window(*extra).rowsBetween(W.unboundedPreceding, -1)
 
     def slices(self) -> W:
-        """Over the carry table: rows per key are bounded by its time slices."""
-        return W.partitionBy(*self.keys).orderBy(SLICE)
+        """Over the carry table: its rows per key are bounded by the time slices."""
+        return W.partitionBy(*self.history.keys).orderBy(SLICE)
 
     def slices_before(self) -> W:
         return self.slices().rowsBetween(W.unboundedPreceding, -1)
 
-    def per_slice(self, prepared: DataFrame, *aggs: Column) -> DataFrame:
-        """One row per hot key and slice (partial aggregation before the shuffle)."""
-        return prepared.filter("_hot").groupBy(*self.keys, SLICE).agg(*aggs)
+    def per_slice(self, *aggs: Column) -> DataFrame:
+        """One row per hot key and slice, combined before the shuffle."""
+        return self.df.filter("_hot").groupBy(*self.place).agg(*aggs)
 
-    def order_struct(self) -> Column:
-        return F.struct(*[F.col(c) for c in self.order])
+    def bring(self, df: DataFrame, carry: DataFrame) -> DataFrame:
+        """Carry values to their slice: only the small carry table moves."""
+        return df.join(carry, on=self.place, how="left")
+
+    def bring_per_key(self, df: DataFrame, per_key: DataFrame) -> DataFrame:
+        """A one-row-per-key table to every row, where the rows lie: for hot keys
+        it is repeated once per slice they have."""
+        if self.cut:
+            slices = self.df.filter("_hot").select(*self.place).distinct()
+            per_key = per_key.join(slices, on=list(self.history.keys), how="left").withColumn(
+                SLICE, F.coalesce(F.col(SLICE), F.lit(0).cast("bigint"))
+            )
+        return self.bring(df, per_key)
+
+    def done(self, df: DataFrame, *helpers: str) -> DataFrame:
+        return df.drop(*helpers, "_hot", SLICE)
 
 
 def with_position(df: DataFrame, history: History, hot: DataFrame | None = None, name: str = "pos") -> DataFrame:
     """0-based position of each row within its key, in order."""
-    prepared = history.prepare(df, hot)
-    carry = history.per_slice(prepared, F.count(F.lit(1)).alias("_n")).select(
-        *history.keys, SLICE, F.sum("_n").over(history.slices_before()).alias("_carried")
-    )
-    local = prepared.withColumn("_local", F.row_number().over(history.window()).cast("bigint") - 1)
-    return (
-        join_carry(local, carry, history.keys)
-        .withColumn(name, F.col("_local") + F.coalesce(F.col("_carried"), F.lit(0)))
-        .drop("_local", "_carried", "_hot", SLICE)
-    )
+    laid = history.lay_out(df, hot)
+    local = laid.df.withColumn(name, F.row_number().over(laid.window()).cast("bigint") - 1)
+    if laid.cut:
+        carry = laid.per_slice(F.count(F.lit(1)).alias("_n")).select(
+            *laid.place, F.sum("_n").over(laid.slices_before()).alias("_carried")
+        )
+        local = laid.bring(local, carry).withColumn(name, F.col(name) + F.coalesce("_carried", F.lit(0)))
+    return laid.done(local, "_carried")
 
 
 def user_sequences(
@@ -114,16 +146,14 @@ def next_item(
     df: DataFrame, history: History = History(), item: str = "movieId", hot: DataFrame | None = None
 ) -> DataFrame:
     """Adds ``next_item``: the item of the following row of the key, NULL at its end."""
-    prepared = history.prepare(df, hot)
-    carry = history.per_slice(prepared, F.min_by(item, history.order_struct()).alias("_first")).select(
-        *history.keys, SLICE, F.lead("_first").over(history.slices()).alias("_next_slice")
-    )
-    local = prepared.withColumn("_next", F.lead(item).over(history.window()))
-    return (
-        join_carry(local, carry, history.keys)
-        .withColumn("next_item", F.coalesce("_next", "_next_slice"))
-        .drop("_next", "_next_slice", "_hot", SLICE)
-    )
+    laid = history.lay_out(df, hot)
+    local = laid.df.withColumn("next_item", F.lead(item).over(laid.window()))
+    if laid.cut:
+        carry = laid.per_slice(F.min_by(item, history.order_struct()).alias("_first")).select(
+            *laid.place, F.lead("_first").over(laid.slices()).alias("_after")
+        )
+        local = laid.bring(local, carry).withColumn("next_item", F.coalesce("next_item", "_after"))
+    return laid.done(local, "_after")
 
 
 @dataclass(frozen=True)
@@ -145,6 +175,35 @@ def _moments(value: str, over: W | None) -> list[Column]:
     return [(p.over(over) if over is not None else p).alias(n) for p, n in zip(parts, names)]
 
 
+_MOMENTS = ("_n", "_s", "_q")
+
+
+def _with_moments(laid: Laid, df: DataFrame, value: str) -> DataFrame:
+    """Count, sum and sum of squares over the key's earlier rows.  Ratings and
+    their squares are short binary fractions, so these sums are exact."""
+    local = df.select("*", *_moments(value, laid.before()))
+    if laid.cut:
+        carry = laid.per_slice(*_moments(value, None)).select(
+            *laid.place, *[F.sum(c).over(laid.slices_before()).alias(f"{c}0") for c in _MOMENTS]
+        )
+        both = {c: F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"{c}0"), F.lit(0)) for c in _MOMENTS}
+        local = laid.bring(local, carry).withColumns(both)
+    return local
+
+
+def _named_stats(df: DataFrame, names: PriorNames) -> DataFrame:
+    n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
+    spread = F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1)
+    return (
+        df.withColumn(names.count, F.coalesce(n, F.lit(0)).cast("bigint"))
+        .withColumn(names.avg, F.when(n > 0, s / n))
+        .withColumn(names.stddev, F.when(n > 1, F.sqrt(spread)))
+    )
+
+
+_MOMENT_HELPERS = (*_MOMENTS, *[f"{c}0" for c in _MOMENTS])
+
+
 def prior_stats(
     df: DataFrame,
     history: History = History(),
@@ -157,77 +216,59 @@ def prior_stats(
     Count is 0 and the others NULL at the first row; the deviation is NULL
     until two earlier values exist.
     """
-    prepared = history.prepare(df, hot)
-    local = prepared.select("*", *_moments(value, history.before()))
-    carry = history.per_slice(prepared, *_moments(value, None)).select(
-        *history.keys, SLICE, *[F.sum(c).over(history.slices_before()).alias(f"{c}0") for c in ("_n", "_s", "_q")]
-    )
-    return _finish_stats(join_carry(local, carry, history.keys), names).drop("_hot", SLICE)
+    laid = history.lay_out(df, hot)
+    return laid.done(_named_stats(_with_moments(laid, laid.df, value), names), *_MOMENT_HELPERS)
 
 
-def _finish_stats(df: DataFrame, names: PriorNames) -> DataFrame:
-    def both(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"{c}0"), F.lit(0))
+def _with_recent(laid: Laid, df: DataFrame, item: str, threshold: float, n: int) -> DataFrame:
+    """``_recent``: the last n positive items before this row, newest first.
 
-    n, s, q = both("_n").cast("bigint"), both("_s").cast("double"), both("_q").cast("double")
-    spread = F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1)
-    return (
-        df.withColumn(names.count, n)
-        .withColumn(names.avg, F.when(n > 0, s / n))
-        .withColumn(names.stddev, F.when(n > 1, F.sqrt(spread)))
-        .drop("_n", "_s", "_q", "_n0", "_s0", "_q0")
-    )
-
-
-def _recent_local(prepared: DataFrame, history: History, item: str, positive: Column, n: int) -> DataFrame:
-    """``_mine``: on positive rows, this item and the n-1 positives before it in
-    the slice, newest first; ``_recent``: the same as seen by the next row."""
-    flagged = prepared.withColumn("_pos", F.coalesce(positive, F.lit(False)))
-    by_sign = history.window("_pos")
+    On positive rows ``_mine`` is this item and the n-1 positives before it;
+    every row then takes the latest ``_mine`` of the rows before it.  All
+    windows share one exchange and no frame holds more than n items.
+    """
+    flagged = df.withColumn("_pos", F.coalesce(F.col("rating") >= threshold, F.lit(False)))
+    by_sign = laid.window("_pos")
     chain = F.array_compact(F.array(F.col(item), *[F.lag(item, k).over(by_sign) for k in range(1, n)]))
     mine = flagged.withColumn("_chain", chain).withColumn("_mine", F.when(F.col("_pos"), F.col("_chain")))
-    return mine.withColumn("_recent", F.last("_mine", ignorenulls=True).over(history.before())).drop("_chain")
+    local = mine.withColumn("_recent", F.last("_mine", ignorenulls=True).over(laid.before()))
+    if laid.cut:
+        own, earlier = F.coalesce("_recent", F.array()), F.coalesce("_carried_items", F.array())
+        carried = laid.bring(local, _recent_carry(laid, item, threshold, n))
+        local = carried.withColumn("_recent", F.slice(F.concat(own, earlier), 1, n))
+    return local
 
 
-def _recent_carry(prepared: DataFrame, history: History, item: str, positive: Column, n: int) -> DataFrame:
+def _recent_carry(laid: Laid, item: str, threshold: float, n: int) -> DataFrame:
     """The last n positives of all earlier slices, per hot key and slice.
 
     Each non-empty slice offers its own newest n by a bounded group limit; the
     last n non-empty slices are then enough, so frames stay n rows wide.
     """
-    hot_rows = prepared.filter("_hot")
-    newest = W.partitionBy(*history.keys, SLICE).orderBy(*[F.desc(c) for c in history.order])
+    hot_rows = laid.df.filter("_hot")
+    newest = W.partitionBy(*laid.place).orderBy(*[F.desc(c) for c in laid.history.order])
     tops = (
-        hot_rows.filter(positive)
+        hot_rows.filter(F.col("rating") >= threshold)
         .withColumn("_rn", F.row_number().over(newest))
         .filter(F.col("_rn") <= n)
-        .groupBy(*history.keys, SLICE)
+        .groupBy(*laid.place)
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("_rn", item))), lambda p: p[item]).alias("_tops"))
     )
-    last_n = history.slices().rowsBetween(-(n - 1), 0)
-    carried_out = tops.withColumn(
-        "_out", F.slice(F.flatten(F.reverse(F.collect_list("_tops").over(last_n))), 1, n)
-    ).drop("_tops")
-    every_slice = hot_rows.select(*history.keys, SLICE).distinct()
-    return every_slice.join(carried_out, on=[*history.keys, SLICE], how="left").select(
-        *history.keys, SLICE, F.last("_out", ignorenulls=True).over(history.slices_before()).alias("_carried_items")
+    last_n = laid.slices().rowsBetween(-(n - 1), 0)
+    newest_out = F.slice(F.flatten(F.reverse(F.collect_list("_tops").over(last_n))), 1, n)
+    carried_out = tops.select(*laid.place, newest_out.alias("_out"))
+    every_slice = hot_rows.select(*laid.place).distinct()
+    return every_slice.join(carried_out, on=laid.place, how="left").select(
+        *laid.place, F.last("_out", ignorenulls=True).over(laid.slices_before()).alias("_carried_items")
     )
 
 
-def _recent_slots(df: DataFrame, n: int, prefix: str) -> DataFrame:
-    none = F.array().cast("array<bigint>")
-    items = F.slice(
-        F.concat(
-            F.coalesce(F.col("_recent").cast("array<bigint>"), none),
-            F.coalesce(F.col("_carried_items").cast("array<bigint>"), none),
-        ),
-        1,
-        n,
-    )
-    slots = [F.coalesce(F.get("_items", F.lit(i - 1)), F.lit(0)).alias(f"{prefix}{i}") for i in range(1, n + 1)]
-    return df.withColumn("_items", items).select(
-        *[c for c in df.columns if c not in ("_recent", "_mine", "_pos", "_carried_items")], *slots
-    )
+_RECENT_HELPERS = ("_recent", "_mine", "_pos", "_chain", "_carried_items")
+
+
+def _recent_slots(n: int, prefix: str) -> list[Column]:
+    slot = [F.get("_recent", F.lit(i)) for i in range(n)]
+    return [F.coalesce(s, F.lit(0)).alias(f"{prefix}{i + 1}") for i, s in enumerate(slot)]
 
 
 def recent_items(
@@ -241,11 +282,9 @@ def recent_items(
 ) -> DataFrame:
     """The last ``n`` items rated at least ``threshold`` before this row, newest
     first, 0 where there are fewer (W2).  Integer item ids."""
-    prepared = history.prepare(df, hot)
-    positive = F.col("rating") >= threshold
-    local = _recent_local(prepared, history, item, positive, n)
-    carry = _recent_carry(prepared, history, item, positive, n)
-    return _recent_slots(join_carry(local, carry, history.keys), n, prefix).drop("_hot", SLICE)
+    laid = history.lay_out(df, hot)
+    local = _with_recent(laid, laid.df, item, threshold, n)
+    return laid.done(local.select("*", *_recent_slots(n, prefix)), *_RECENT_HELPERS)
 
 
 def user_history_features(
@@ -258,21 +297,15 @@ def user_history_features(
     names: PriorNames = PriorNames(),
     per_user: DataFrame | None = None,
 ) -> DataFrame:
-    """W1 and W2 together (A12, as-of form): both windows share one shuffle.
+    """W1 and W2 together (A12, as-of form): all windows share one shuffle.
 
     ``per_user`` is an optional table with one row per user, left joined on the
     way while the rows still lie together.
     """
-    prepared = history.prepare(df, hot)
-    positive = F.col("rating") >= threshold
-    local = _recent_local(prepared, history, item, positive, n).select("*", *_moments("rating", history.before()))
-    moments = history.per_slice(prepared, *_moments("rating", None)).select(
-        *history.keys, SLICE, *[F.sum(c).over(history.slices_before()).alias(f"{c}0") for c in ("_n", "_s", "_q")]
-    )
-    carry = moments.join(
-        _recent_carry(prepared, history, item, positive, n), on=[*history.keys, SLICE], how="left"
-    )
-    joined = _finish_stats(join_carry(local, carry, history.keys), names)
+    laid = history.lay_out(df, hot)
+    joined = _with_recent(laid, laid.df, item, threshold, n)
+    joined = _named_stats(_with_moments(laid, joined, "rating"), names)
     if per_user is not None:
-        joined = join_carry(joined, per_slice_table(per_user, history.keys, prepared), history.keys)
-    return _recent_slots(joined, n, "userRatedMovie").drop("_hot", SLICE)
+        joined = laid.bring_per_key(joined, per_user)
+    slotted = joined.select("*", *_recent_slots(n, "userRatedMovie"))
+    return laid.done(slotted, *_RECENT_HELPERS, *_MOMENT_HELPERS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marquee.functions.encoders import stable_hash
 from marquee.functions.numeric import as_doubles, zero_vector
 from marquee.operators.ranking import global_rank, hash_bucket_of
-from marquee.skew import HOT_ROWS, hot_keys, salted_join, with_group_totals
+from marquee.skew import HOT_ROWS, skew_join, with_group_totals
 
 POSITIVE = 3.5
 
@@ -58,10 +58,8 @@ def fill_missing(df: DataFrame, value: float = 0, cols: Sequence[str] | None = N
 
 def join_movies(ratings: DataFrame, movies: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Left join on ``movieId`` with one key column kept; blockbusters are
-    salted (J1)."""
-    if hot is None:
-        hot = hot_keys(ratings, ["movieId"])
-    return salted_join(ratings, movies, ["movieId"], hot)
+    salted when the catalogue is too big to broadcast (J1)."""
+    return skew_join(ratings, movies, ["movieId"], hot=hot)
 
 
 def join_movie_stats(samples: DataFrame, stats: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -82,11 +80,14 @@ def lookup_embedding(
     out: str = "emb",
     table_id: str = "id",
     table_emb: str = "emb",
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Dense row of an id, the zero vector for an unknown id."""
+    """Dense row of an id, the zero vector for an unknown id.
+
+    In a chain of look-ups pass ``hot`` from the plain samples, so that the
+    earlier joins are not run again just to count ids."""
     vectors = table.select(F.col(table_id).alias(id_col), as_doubles(F.col(table_emb)).alias(out))
-    joined = salted_join(df, vectors, [id_col], hot_keys(df, [id_col], hot_rows))
+    joined = skew_join(df, vectors, [id_col], hot=hot)
     return joined.withColumn(out, F.coalesce(F.col(out), zero_vector(dim)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +12,11 @@ from marquee.functions import text as T
 from marquee.operators import aggregates as A
 from marquee.operators import encoding as M
 from marquee.operators import histories as H
+from marquee.operators.metrics import check_labels
+from marquee.operators.samples import with_int_id
 from marquee.plans.queries_samples import GENRE_INDEX_CTE, KEY, SQL_KEY, _YEAR
 from marquee.plans.registry import query, sql
-from marquee.sources.adapters import item_vectors, movies, ratings, table, tag_samples
+from marquee.sources.adapters import item_vectors, movies, ratings, tag_samples
 
 # -------------------------------------------------------------- text
 
@@ -316,8 +319,6 @@ def q_indicator(spark: SparkSession, sf: str) -> DataFrame:
     sql("movies", 'SELECT "movieId", (SELECT max("movieId") + 1 FROM movies)::INTEGER AS size, "movieId"::INTEGER AS hot FROM movies'),
 )
 def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    from marquee.operators.samples import with_int_id
-
     typed = with_int_id(movies(spark, sf), "movieId").select("movieId", "movieIdNumber")
     encoded = M.one_hot(typed, "movieIdNumber", "movieIdVector").select("movieId", *M.sparse_parts("movieIdVector"))
     return encoded.select("movieId", "size", F.get("indices", F.lit(0)).alias("hot"))
@@ -345,7 +346,6 @@ def q_multi_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 STATS_SQL = 'stats AS (SELECT "movieId", count(*)::BIGINT AS "ratingCount", avg(rating) AS "avgRating" FROM ratings GROUP BY 1)'
-_FRACTIONS = ", ".join(f"{i}/100.0::DOUBLE" for i in range(1, 100))
 
 
 @query(
@@ -392,8 +392,6 @@ def q_min_max(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def q_stages(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     stats = A.movie_rating_stats(ratings(spark, sf)).select("movieId", "ratingCount", "avgRating")
     out = M.rating_feature_stages(stats)
     return out.select(
@@ -423,8 +421,6 @@ def q_label_map(spark: SparkSession, sf: str) -> DataFrame:
     sql("ratings", f"SELECT {SQL_KEY}, 3 AS size, round(rating + l_linenumber + \"timestamp\" / 86400, 6) AS total FROM ratings"),
 )
 def q_assemble(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     days = ratings(spark, sf).withColumn("days", F.col("timestamp") / 86400)
     v = vector_to_array("features")
     return M.assemble(days, ["rating", "l_linenumber", "days"]).select(
@@ -438,9 +434,10 @@ def q_hashed(spark: SparkSession, sf: str) -> DataFrame:
     return hashed.select("event_id", *M.sparse_parts("features")).select("event_id", "size")
 
 
-@query("labels_seen", sql("", "SELECT DISTINCT toxic AS label FROM labels WHERE toxic NOT IN (SELECT quality FROM labels)"))
+@query(
+    "check_labels",
+    sql("ratings", 'SELECT DISTINCT "movieId" FROM ratings WHERE "movieId" NOT IN (SELECT "movieId" FROM ratings WHERE rating = 5.0)'),
+)
 def q_check_labels(spark: SparkSession, sf: str) -> DataFrame:
-    from marquee.operators.metrics import check_labels
-
-    lab = table(spark, sf, "labels")
-    return check_labels(lab.select(F.col("quality").alias("label")), lab.select(F.col("toxic").alias("label")))
+    r = ratings(spark, sf)
+    return check_labels(r.filter("rating = 5.0"), r, "movieId")

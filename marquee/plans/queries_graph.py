@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee.operators import graph as G
 from marquee.plans.queries_samples import SQL_ORDER
 from marquee.plans.registry import query, sql
-from marquee.sources.adapters import USER_HISTORY, ratings
+from marquee.sources.adapters import USER_HISTORY, ratings_table
 
 PAIRS_CTE = f"""linked AS (SELECT "movieId" AS src, lead("movieId") OVER (PARTITION BY "userId" ORDER BY {SQL_ORDER}) AS dst
     FROM ratings WHERE rating >= 3.5)"""
@@ -16,7 +16,7 @@ COUNTS_CTE = "pair_counts AS (SELECT src, dst, count(*)::BIGINT AS cnt FROM link
 
 
 def pair_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return G.item_pair_counts(G.adjacent_pairs(ratings(spark, sf), USER_HISTORY))
+    return G.item_pair_counts(G.adjacent_pairs(ratings_table(spark, sf), USER_HISTORY))
 
 
 @query("item_pair_counts", sql("ratings", "SELECT * FROM pair_counts", PAIRS_CTE, COUNTS_CTE))

@@ -19,6 +19,7 @@ from marquee.sources.adapters import (
     links,
     movies,
     ratings,
+    ratings_table,
     table,
     tag_samples,
 )
@@ -352,7 +353,7 @@ SEQUENCES_CTE = f"""placed AS (SELECT *, row_number() OVER (PARTITION BY "userId
     ),
 )
 def q_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    seqs = H.user_sequences(ratings(spark, sf), USER_HISTORY)
+    seqs = H.user_sequences(ratings_table(spark, sf), USER_HISTORY)
     return seqs.select("userId", "chunk", F.size("movieIds").cast("bigint").alias("n"), "movieIdStr")
 
 
@@ -366,7 +367,7 @@ def q_sequences(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def q_next(spark: SparkSession, sf: str) -> DataFrame:
-    return H.next_item(S.positive_ratings(ratings(spark, sf)), USER_HISTORY).select(*KEY, "next_item")
+    return H.next_item(S.positive_ratings(ratings_table(spark, sf)), USER_HISTORY).select(*KEY, "next_item")
 
 
 _BEFORE = f'(PARTITION BY "userId" ORDER BY {SQL_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)'
@@ -382,7 +383,7 @@ _BEFORE = f'(PARTITION BY "userId" ORDER BY {SQL_ORDER} ROWS BETWEEN UNBOUNDED P
     ),
 )
 def q_history_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return H.prior_stats(ratings(spark, sf), USER_HISTORY).select(
+    return H.prior_stats(ratings_table(spark, sf), USER_HISTORY).select(
         *KEY, "userRatingCount", *rounded("userAvgRating", "userRatingStddev")
     )
 
@@ -406,7 +407,7 @@ SQL_RECENT = ", ".join(f'"{c}"' for c in RECENT_COLUMNS)
 
 @query("recent_items", sql("ratings", f"SELECT {SQL_KEY}, {SQL_RECENT} FROM recent", *RECENT_CTES))
 def q_recent(spark: SparkSession, sf: str) -> DataFrame:
-    return H.recent_items(ratings(spark, sf), 5, USER_HISTORY).select(*KEY, *RECENT_COLUMNS)
+    return H.recent_items(ratings_table(spark, sf), 5, USER_HISTORY).select(*KEY, *RECENT_COLUMNS)
 
 
 @query(
@@ -470,7 +471,7 @@ MOVIE_OUT = ["releaseYear", "movieGenre1", "movieGenre2", "movieGenre3", "movieR
     ),
 )
 def q_movie_samples(spark: SparkSession, sf: str) -> DataFrame:
-    return movie_half(ratings(spark, sf), movies(spark, sf)).select(*KEY, "label", *MOVIE_OUT)
+    return movie_half(ratings_table(spark, sf), movies(spark, sf)).select(*KEY, "label", *MOVIE_OUT)
 
 
 USER_GENRES = [f"userGenre{i}" for i in range(1, 6)]
@@ -502,7 +503,7 @@ def _sample_sql(movie_stats_join: str, *ctes: str) -> str:
 
 @query("training_samples", _sample_sql('history LEFT JOIN movie_stats USING ("movieId")', STATS_CTE))
 def q_samples(spark: SparkSession, sf: str) -> DataFrame:
-    out = training_samples(ratings(spark, sf), movies(spark, sf), USER_HISTORY, MOVIE_HISTORY)
+    out = training_samples(ratings_table(spark, sf), movies(spark, sf), USER_HISTORY, MOVIE_HISTORY)
     return out.withColumns({c: F.round(c, 6) for c in ("userAvgRating", "userRatingStddev")}).select(*SAMPLE_OUT)
 
 
@@ -520,6 +521,6 @@ _MOVIE_BEFORE = """(PARTITION BY "movieId" ORDER BY "timestamp", l_orderkey, l_l
     ),
 )
 def q_samples_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    out = training_samples(ratings(spark, sf), movies(spark, sf), USER_HISTORY, MOVIE_HISTORY, scope="as_of")
+    out = training_samples(ratings_table(spark, sf), movies(spark, sf), USER_HISTORY, MOVIE_HISTORY, scope="as_of")
     doubles = ("userAvgRating", "userRatingStddev", "movieAvgRating", "movieRatingStddev")
     return out.withColumns({c: F.round(c, 6) for c in doubles}).select(*SAMPLE_OUT)

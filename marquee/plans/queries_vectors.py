@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.encoders import hash_bucket
+from marquee.functions.numeric import dot, vec_sum
 from marquee.functions.text import genre_slot
 from marquee.operators import embedding as EM
 from marquee.operators import histories as H
 from marquee.operators import retrieval as R
 from marquee.operators.aggregates import genre_preference
-from marquee.operators.samples import lookup_embedding, positive_ratings
+from marquee.operators.samples import join_movies, lookup_embedding, positive_ratings
 from marquee.plans.queries_features import sql_md5
 from marquee.plans.queries_graph import pair_counts
 from marquee.plans.queries_samples import GENRE_PREFERENCE_CTES, KEY, RECENT_CTES, SQL_KEY
 from marquee.plans.registry import query, sql
-from marquee.sources.adapters import USER_HISTORY, VECTOR_DIM, item_vectors, movies, ratings
+from marquee.skew import hot_keys, skew_join
+from marquee.sources.adapters import USER_HISTORY, VECTOR_DIM, item_vectors, movies, ratings, ratings_table
 
 
 def _positions(df: DataFrame, *ids: str, emb: str = "emb", digits: int = 6) -> DataFrame:
@@ -167,7 +169,7 @@ _N = "(SELECT count(*) FROM vectors)"
     ),
 )
 def q_fm(spark: SparkSession, sf: str) -> DataFrame:
-    r, m, v = ratings(spark, sf), movies(spark, sf), item_vectors(spark, sf)
+    r, m, v = ratings_table(spark, sf), movies(spark, sf), item_vectors(spark, sf)
     n = v.agg(F.count(F.lit(1)).alias("n")).scalar()
     favourite = genre_preference(r, m, 1).select("userId", F.col("genre").alias("ug_name"))
     first = m.select("movieId", genre_slot(F.col("genres"), 1).alias("ig_name"))
@@ -175,10 +177,7 @@ def q_fm(spark: SparkSession, sf: str) -> DataFrame:
     def index(name: str, out: str):
         return F.pmod(hash_bucket(F.col(name), 1 << 60, "md5"), F.col("_n")).alias(out)
 
-    from marquee.operators.samples import join_movies
-    from marquee.skew import hot_keys, salted_join
-
-    sampled = salted_join(join_movies(r, first), favourite, ["userId"], hot_keys(r, ["userId"]), how="inner")
+    sampled = skew_join(join_movies(r, first), favourite, ["userId"], how="inner", hot=hot_keys(r, ["userId"]))
     fields = [("movieId", "item"), ("userId", "user"), ("ig_name", "itemGenre"), ("ug_name", "userGenre")]
     indexed = sampled.withColumn("_n", n).select(*KEY, *[index(a, b) for a, b in fields])
     terms = ["item_user", "itemGenre_userGenre", "itemGenre_user", "item_userGenre"]
@@ -194,26 +193,30 @@ _H = ", ".join(f'"{h}"' for h in HISTORY)
     "history_attention_pool",
     sql(
         "ratings vectors",
-        f"""SELECT "movieId", {_H}, pos, round(sum(CASE WHEN h = 0 THEN 0 ELSE x / (1 + exp(-d)) END), 6) + 0.0 AS v FROM (
+        f"""SELECT "movieId", {_H}, round(sum(v), 6) + 0.0 AS total, round(sum(v * v), 6) + 0.0 AS square,
+                   round(max(CASE WHEN pos = 0 THEN v END), 6) + 0.0 AS head, round(max(CASE WHEN pos = {VECTOR_DIM - 1} THEN v END), 6) + 0.0 AS tail
+            FROM (SELECT "movieId", {_H}, pos, sum(CASE WHEN h = 0 THEN 0 ELSE x / (1 + exp(-d)) END) AS v FROM (
               SELECT k.*, unnest(hv.emb) AS x, generate_subscripts(hv.emb, 1)::INTEGER - 1 AS pos, list_dot_product(hv.emb, c.emb) AS d
               FROM (SELECT *, unnest([{_H}]) AS h FROM (SELECT DISTINCT "movieId", {_H} FROM recent)) k
-              JOIN filled hv ON hv.id = k.h JOIN filled c ON c.id = k."movieId") GROUP BY ALL""",
+              JOIN filled hv ON hv.id = k.h JOIN filled c ON c.id = k."movieId") GROUP BY ALL) GROUP BY ALL""",
         *RECENT_CTES,
         f"""filled AS (SELECT i AS id, coalesce(emb, list_transform(range({VECTOR_DIM}), lambda z: 0.0::DOUBLE)) AS emb FROM
               (SELECT DISTINCT "movieId" AS i FROM ratings UNION SELECT 0) LEFT JOIN vectors ON id = i)""",
     ),
 )
 def q_attention(spark: SparkSession, sf: str) -> DataFrame:
-    recent = H.recent_items(ratings(spark, sf), 5, USER_HISTORY)
+    recent = H.recent_items(ratings_table(spark, sf), 5, USER_HISTORY)
     pooled = R.history_attention_pool(recent, item_vectors(spark, sf), VECTOR_DIM, "movieId", HISTORY)
-    return _positions(pooled, "movieId", *HISTORY, emb="pooled")
+    p = F.col("pooled")
+    parts = {"total": vec_sum(p), "square": dot(p, p), "head": F.get(p, F.lit(0)), "tail": F.get(p, F.lit(VECTOR_DIM - 1))}
+    return pooled.select("movieId", *HISTORY, *[F.round(v, 6).alias(n) for n, v in parts.items()])
 
 
 # ------------------------------------------------------- trained embeddings
 
 @query("train_item2vec")
 def q_item2vec(spark: SparkSession, sf: str) -> DataFrame:
-    seqs = H.user_sequences(ratings(spark, sf), USER_HISTORY)
+    seqs = H.user_sequences(ratings_table(spark, sf), USER_HISTORY)
     return _positions(EM.train_item2vec(seqs), "id")
 
 

@@ -3,7 +3,7 @@
 One user or one movie may own a third of all rows.  Plain aggregates survive
 that by partial aggregation, but three shapes do not:
 
-* a join against a dimension  -> :func:`salted_join`
+* a join against a dimension -> :func:`skew_join`
 * a group total put back on every row -> :func:`with_group_totals`
 * an ordered window over the key -> :func:`sliced` plus a carry table
 
@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.durable import written
+
 # A key is hot when it is among the MAX_HOT_KEYS biggest and above HOT_ROWS.
 # Every other key then holds at most max(HOT_ROWS, total / MAX_HOT_KEYS) rows,
 # and the hot list is never longer than MAX_HOT_KEYS, so it may be broadcast.
@@ -29,17 +31,24 @@ SALT = "_salt"
 
 
 def hottest(counts: DataFrame, keys: Sequence[str], count_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hot keys from a table that already has one count per key."""
-    return (
+    """Hot keys from a table that already has one count per key.
+
+    The list is fetched now and becomes a local table: it is at most
+    ``MAX_HOT_KEYS`` rows, every branch of the plan sees the same list, and a
+    caller that finds it empty can leave the detour out of the plan.
+    """
+    found = (
         counts.filter(F.col(count_col) > hot_rows)
         .orderBy(F.desc(count_col), *keys)
         .limit(MAX_HOT_KEYS)
         .select(*keys)
     )
+    return counts.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """At most ``MAX_HOT_KEYS`` keys with more than ``hot_rows`` rows."""
+    """At most ``MAX_HOT_KEYS`` keys with more than ``hot_rows`` rows: one job
+    that reads the key columns only and combines on the map side."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return hottest(counts, keys, "_rows", hot_rows)
 
@@ -77,18 +86,52 @@ def salted_join(
     return salted.join(repeated, on=[*keys, SALT], how=how).drop(SALT)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate puts ``df`` under its broadcast threshold,
+    in which case the planner broadcasts it and no row of the other side moves.
+    """
+    spark = df.sparkSession
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold) if threshold[-1:].isalpha() else int(threshold)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 0 <= size <= limit
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join against a dimension: by the planner's size-checked broadcast when it
+    is small, salted around the hot keys of ``left`` otherwise.  ``hot`` saves
+    counting when the caller already knows the keys."""
+    if fits_broadcast(right):
+        return left.join(right, on=list(keys), how=how)
+    if hot is None:
+        hot = hot_keys(left, keys, hot_rows)
+    if hot.isEmpty():
+        return left.join(right, on=list(keys), how=how)
+    return salted_join(left, right, keys, hot, how)
+
+
 def with_group_totals(
     df: DataFrame, keys: Sequence[str], totals: dict[str, Column], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Aggregate by ``keys`` and put the results on every row.
 
     A window without order would send a whole group to one task; this
-    pre-aggregates on the map side and joins back with salt.
+    pre-aggregates on the map side and joins back, by broadcast or with salt.
+    The totals are written once: they name the hot keys, and their true size
+    decides how they are joined.
     """
     aggs = [expr.alias(name) for name, expr in totals.items()]
-    grouped = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_rows"))
-    hot = hottest(grouped, keys, "_rows", hot_rows)
-    return salted_join(df, grouped.drop("_rows"), keys, hot)
+    grouped = written(df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_rows")), "totals")
+    right = grouped.drop("_rows")
+    hot = None if fits_broadcast(right) else hottest(grouped, keys, "_rows", hot_rows)
+    return skew_join(df, right, keys, hot=hot)
 
 
 def sliced(df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_expr: Column) -> DataFrame:
@@ -101,18 +144,3 @@ def sliced(df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_expr: Colum
     return flag_hot(df, keys, hot).withColumn(
         SLICE, F.when(F.col("_hot"), slice_expr.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     )
-
-
-def join_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring carry values to (keys, _slice): ``df`` is already partitioned that
-    way by its window, so only the small carry table moves."""
-    return df.join(carry, on=[*keys, SLICE], how="left")
-
-
-def per_slice_table(per_key: DataFrame, keys: Sequence[str], prepared: DataFrame) -> DataFrame:
-    """Lay a one-row-per-key table out by (keys, _slice), repeating hot keys once
-    per slice they really have, so it can meet a sliced table where that lies."""
-    slices = prepared.filter("_hot").select(*keys, SLICE).distinct()
-    return per_key.join(slices, on=list(keys), how="left").withColumn(
-        SLICE, F.coalesce(F.col(SLICE), F.lit(0).cast("bigint"))
-    )
