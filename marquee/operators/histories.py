@@ -283,7 +283,9 @@ def recent_items(
     """The last ``n`` items rated at least ``threshold`` before this row, newest
     first, 0 where there are fewer (W2).  Integer item ids."""
     laid = history.lay_out(df, hot)
-    local = _with_recent(laid, laid.df, item, threshold, n)
+    # The first window inside is by key and sign; laying rows out by key alone
+    # first lets every window use the same exchange.
+    local = _with_recent(laid, laid.df.repartition(*laid.place), item, threshold, n)
     return laid.done(local.select("*", *_recent_slots(n, prefix)), *_RECENT_HELPERS)
 
 
@@ -303,8 +305,9 @@ def user_history_features(
     way while the rows still lie together.
     """
     laid = history.lay_out(df, hot)
-    joined = _with_recent(laid, laid.df, item, threshold, n)
-    joined = _named_stats(_with_moments(laid, joined, "rating"), names)
+    # Moments first: their window is by key alone, and the others then reuse its exchange.
+    joined = _named_stats(_with_moments(laid, laid.df, "rating"), names)
+    joined = _with_recent(laid, joined, item, threshold, n)
     if per_user is not None:
         joined = laid.bring_per_key(joined, per_user)
     slotted = joined.select("*", *_recent_slots(n, "userRatedMovie"))
