@@ -138,27 +138,34 @@ def draw(walk: Column, step: int, seed: int, method: str) -> Column:
     return stable_hash([F.lit(seed), walk, F.lit(step)], method)
 
 
+def with_draw(walks: DataFrame, step: int, seed: int, method: str) -> DataFrame:
+    """``slot`` and ``bucket`` of the draw that leads to ``step``; NULL where
+    the walk stands at a dead end.  They are stored with the frontier, so the
+    next join compares plain columns and hashes each walk once."""
+    slot = F.pmod(draw(F.col("walk_id"), step, seed, method), F.col("total"))
+    drawn = walks.withColumn("slot", slot)
+    return drawn.withColumn("bucket", F.floor(F.col("slot") / F.col("width"))).drop("total", "width")
+
+
 def walk_step(walks: DataFrame, table: DataFrame, step: int, seed: int = 0, method: str = "xxhash64") -> DataFrame:
-    """One more item per walk that can go on.
+    """The next item of every walk that can go on.
 
-    ``walks`` has walk_id, items, at, total and width (of the source at hand);
-    ``table`` is a guide table with successor widths.  The join is on (src,
-    bucket): walks at a popular item spread over its successors.  A walk
-    without successor keeps its items and gets a NULL ``at``.
+    ``walks`` has walk_id, at, slot and bucket; ``table`` is a guide table with
+    successor widths.  The join is on (src, bucket): walks at a popular item
+    spread over its successors, and each walk meets exactly one interval.
+    Walks at a dead end drop out.
     """
-    slot = F.pmod(draw(F.col("walk_id"), step, seed, method), F.col("total"))
-    probe = walks.withColumn("_slot", slot).withColumn("_bucket", F.floor(F.col("_slot") / F.col("width")))
-    p, t = probe.alias("p"), table.alias("t")
-    inside = (F.col("p._slot") >= F.col("t.start")) & (F.col("p._slot") < F.col("t.end"))
-    on = (F.col("p.at") == F.col("t.src")) & (F.col("p._bucket") == F.col("t.bucket")) & inside
-    grown = F.when(F.col("t.dst").isNotNull(), F.concat("p.items", F.array("t.dst"))).otherwise(F.col("p.items"))
-    return p.join(t, on=on, how="left").select(
+    p, t = walks.alias("p"), table.alias("t")
+    inside = (F.col("p.slot") >= F.col("t.start")) & (F.col("p.slot") < F.col("t.end"))
+    on = (F.col("p.at") == F.col("t.src")) & (F.col("p.bucket") == F.col("t.bucket")) & inside
+    moved = p.join(t, on=on, how="inner").select(
         "p.walk_id",
-        grown.alias("items"),
+        F.lit(step).alias("step"),
         F.col("t.dst").alias("at"),
         F.col("t.next_total").alias("total"),
         F.col("t.next_width").alias("width"),
     )
+    return with_draw(moved, step + 1, seed, method)
 
 
 def random_walks(
@@ -167,7 +174,6 @@ def random_walks(
     length: int = 10,
     seed: int = 0,
     method: str = "xxhash64",
-    cut_every: int = 5,
     hot_rows: int = HOT_ROWS,
     store: Callable[[DataFrame, str], DataFrame] = written,
 ) -> DataFrame:
@@ -175,8 +181,10 @@ def random_walks(
 
     The first item follows the item distribution, each next one the transition
     probabilities; a walk ends early at an item without successor.  The guide
-    table is written once, as each step reads it; the frontier is written every
-    ``cut_every`` steps, so a lost executor repeats a few steps at most.
+    table is written once, as each step reads it.  Each step's frontier is
+    written too: a lost executor repeats one step, and its true size lets the
+    planner broadcast a small frontier to the guide table instead of shuffling
+    that table at every step.
     """
     edges = store(pair_counts, "edges")
     widths = source_widths(edges)
@@ -186,16 +194,18 @@ def random_walks(
     root = nodes.agg(
         F.struct(F.sum("cnt").alias("total"), F.ceil(F.sum("cnt") / F.count(F.lit(1))).alias("width")).alias("root")
     )
-
-    empty = F.array().cast(f"array<{edges.schema['src'].dataType.simpleString()}>")
-    walks = (
+    starts = (
         pair_counts.sparkSession.range(n)
         .withColumn("_root", root.scalar())
-        .select(F.col("id").alias("walk_id"), empty.alias("items"), F.lit(0).alias("at"), "_root.total", "_root.width")
+        .select(F.col("id").alias("walk_id"), F.lit(0).alias("at"), "_root.total", "_root.width")
     )
-    walks = walk_step(walks, roots, 0, seed, method)
+    first = store(with_draw(starts, 0, seed, method), "walk-starts")
+    steps = [store(walk_step(first, roots, 0, seed, method), "walk-0")]
     for step in range(1, length):
-        walks = walk_step(walks, table, step, seed, method)
-        if step % cut_every == 0 and step < length - 1:
-            walks = store(walks, f"walks-{step}")
-    return walks.select("walk_id", "items")
+        steps.append(store(walk_step(steps[-1], table, step, seed, method), f"walk-{step}"))
+    visited = steps[0]
+    for frontier in steps[1:]:
+        visited = visited.unionByName(frontier)
+    # At most ``length`` rows per walk.
+    places = F.array_sort(F.collect_list(F.struct("step", "at")))
+    return visited.groupBy("walk_id").agg(F.transform(places, lambda s: s["at"]).alias("items"))
