@@ -13,8 +13,9 @@ from marquee.durable import scratch_path, written
 from marquee.operators import metrics as V
 from marquee.operators import models as L
 from marquee.plans.registry import query, sql
+from marquee.plans.training_samples import training_samples
 from marquee.skew import with_group_totals
-from marquee.sources.adapters import ratings_table, scored_labels, tag_samples
+from marquee.sources.adapters import MOVIE_HISTORY, USER_HISTORY, movies, ratings_table, scored_labels, tag_samples
 from marquee.sources.sinks import load_model, save_model
 
 CATEGORICAL = ["tagid", "hour"]
@@ -163,3 +164,37 @@ def q_pr_clicks(spark: SparkSession, sf: str) -> DataFrame:
 def q_mse(spark: SparkSession, sf: str) -> DataFrame:
     predicted = with_group_totals(ratings_table(spark, sf), ["movieId"], {"prediction": F.avg("rating")})
     return V.mse(predicted, "rating").select(F.round("mse", 6).alias("mse"))
+
+
+# ------------------------------------------------- models on movie samples
+
+MOVIE_NUMBERS = [
+    "releaseYear", "movieRatingCount", "movieAvgRating", "movieRatingStddev",
+    "userRatingCount", "userAvgRating", "userRatingStddev",
+]
+MOVIE_TEXTS = [*[f"userGenre{i}" for i in range(1, 6)], *[f"movieGenre{i}" for i in range(1, 4)]]
+
+
+def movie_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship samples, complete and written once for training."""
+    out = training_samples(ratings_table(spark, sf), movies(spark, sf), USER_HISTORY, MOVIE_HISTORY)
+    filled = out.na.fill(0.0).na.fill("", subset=MOVIE_TEXTS).withColumn("label", F.col("label").cast("double"))
+    return written(filled, "samples")
+
+
+def _movie_scores(model, samples: DataFrame) -> DataFrame:
+    keys = ["userId", "movieId", "timestamp", "l_orderkey", "l_linenumber", "label"]
+    return L.score(model, samples).select(*keys, F.round("probability", 6).alias("probability"))
+
+
+@query("train_movie_mlp")
+def q_movie_mlp(spark: SparkSession, sf: str) -> DataFrame:
+    samples = movie_samples(spark, sf)
+    model = L.train_mlp(samples, MOVIE_TEXTS, MOVIE_NUMBERS, hidden=L.HIDDEN["movie"], max_iter=5)
+    return _movie_scores(model, samples)
+
+
+@query("train_movie_wide")
+def q_movie_wide(spark: SparkSession, sf: str) -> DataFrame:
+    samples = L.with_cross(movie_samples(spark, sf), ["movieId", "userRatedMovie1"])
+    return _movie_scores(L.train_wide(samples, max_iter=20), samples)
