@@ -171,3 +171,21 @@ def test_similar_pairs(spark, block):
     assert got == want
     near = {(r.id_a, r.id_b) for r in R.similar_pairs(df, 2.0, exact=False, bucket_length=4.0, block_rows=block).collect()}
     assert near <= set(want) and len(near) > len(want) // 2
+
+
+@pytest.mark.parametrize("scope", ["global", "as_of"])
+def test_training_samples_with_hot_users_and_movies(spark, big_user, scope):
+    from marquee.plans.training_samples import training_samples
+
+    movies = spark.createDataFrame(
+        [(i, f"T{i} ({1950 + i})", "A|B" if i % 2 else "B|C|D") for i in range(1, 38)], "movieId bigint, title string, genres string"
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = bag(training_samples(big_user, movies, PLAIN, H.History(("movieId",), ties=("line", "userId", "rating")), scope))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_movie = H.History(("movieId",), ties=("line", "userId", "rating"), hot_rows=100, span=7200)
+        got = bag(training_samples(big_user, movies, CUT, by_movie, scope))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == want and sum(got.values()) == big_user.count()
