@@ -71,17 +71,16 @@ def collect_genre_indexes(df: DataFrame, key: str = "movieId", index: str = "gen
 def genre_counts(ratings: DataFrame, movies: DataFrame, threshold: float | None = POSITIVE) -> DataFrame:
     """How often each user met each genre.
 
-    The repeated (user, movie) rows collapse to counts before the join, and
-    again to (user, genre) before the second shuffle.
+    A broadcast catalogue leaves the ratings where they are; the exploded genres
+    then collapse to (user, genre) counts before the only shuffle of ratings.
     """
     kept = ratings if threshold is None else ratings.filter(F.col("rating") >= threshold)
-    seen = kept.groupBy("userId", "movieId").agg(F.count(F.lit(1)).alias("_times"))
     genres = movies.select("movieId", split_genres(F.col("genres")).alias("_genres"))
     return (
-        join_movies(seen, genres)
-        .select("userId", F.explode("_genres").alias("genre"), "_times")
+        join_movies(kept.select("userId", "movieId"), genres)
+        .select("userId", F.explode("_genres").alias("genre"))
         .groupBy("userId", "genre")
-        .agg(F.sum("_times").alias("cnt"))
+        .agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 
