@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, html_text, repetition, secrets, url_filters
+from marquee.llm import bpe, html_text, ngram_join, repetition, secrets, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, i, i + 3) END AS shingle
+        FROM d, range(1, greatest(len(w) - 3, least(len(w), 1)) + 1) t(i)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT u, v FROM common JOIN n a ON u = a.doc_id JOIN n b ON v = b.doc_id WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    reach(u, v) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(v) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON d.doc_id = reach.u GROUP BY d.doc_id, n
+    """
+)
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
