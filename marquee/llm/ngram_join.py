@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.durable import written
+from marquee.llm.bitmap import collect_bits, has, slot_of
 from marquee.llm.components import connected_components
 from marquee.llm.frames import record_batch
 from marquee.llm.words import blocks, mix, split_words
@@ -43,7 +44,6 @@ from marquee.llm.words import blocks, mix, split_words
 HOT_TOKENS = 262_144  # at most so many tokens in the broadcast order: 12 bytes each
 HOT_COUNT = 8  # a token in fewer documents is ordered by its hash
 TOKENS_PER_SORT = 4_000_000  # bound of a task's buffer
-SKETCH_BITS = 24  # bitmap of candidate ids: 2 MB whatever the input
 ORDERS = 3
 
 
@@ -321,17 +321,8 @@ def whole_sets(docs: DataFrame, text: str, like: Likeness, wanted: DataFrame) ->
     A bitmap of the wanted ids, of fixed size, keeps most other texts from being
     cut; an id it lets through for nothing is harmless.
     """
-    bits = 1 << SKETCH_BITS
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    masks = (
-        wanted.select(slot.alias("slot"))
-        .groupBy(F.expr("slot div 32").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("mask"))
-        .toArrow()
-    )
-    bitmap = np.zeros(bits // 32, dtype=np.uint32)
-    bitmap[masks.column("word").to_numpy()] = masks.column("mask").to_numpy().astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    slot = slot_of(F.col("doc_id"))
+    shared = docs.sparkSession.sparkContext.broadcast(collect_bits(wanted, slot))
     schema = T.StructType(
         [T.StructField("doc_id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
         + [T.StructField(f"prefix{k}", T.ArrayType(T.LongType())) for k in range(1, ORDERS)]
@@ -341,9 +332,8 @@ def whole_sets(docs: DataFrame, text: str, like: Likeness, wanted: DataFrame) ->
         held = shared.value
 
         def passed(batch: pa.RecordBatch) -> pa.RecordBatch:
-            at = batch.column(2).fill_null(0).to_numpy()
-            hit = (held[at // 32] >> (at % 32).astype(np.uint32)) & 1
-            return batch.filter(pa.array(hit.astype(bool) & np.array(batch.column(0).is_valid())))
+            hit = has(held, batch.column(2).fill_null(0).to_numpy())
+            return batch.filter(pa.array(hit & np.array(batch.column(0).is_valid())))
 
         for batch, values in _each_block((b for b in map(passed, batches) if b.num_rows), text):
             sets = shingle_sets(values, like.width)

@@ -20,6 +20,7 @@ _BYTE_CODES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint8)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -62,27 +63,30 @@ class Words:
         edges = np.append(self.text_starts, len(self.raw))
         return total[edges[1:]] - total[edges[:-1]]
 
-    def hashes(self, lower: bool) -> np.ndarray:
-        """64-bit hash of each word, A-Z in lower case if asked."""
+    def hashes(self, lower: bool, first: int | None = None) -> np.ndarray:
+        """64-bit hash of each word, or of its first bytes, A-Z in lower case if asked."""
         n = len(self.raw)
         up, down = _powers(1 << max(21, int(n).bit_length()))
         codes = _BYTE_CODES[_LOWER[self.raw] if lower else self.raw]
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(codes * up[:n], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * down[self.starts])
+        ends = self.ends if first is None else np.minimum(self.ends, self.starts + first)
+        return mix((total[ends] - total[self.starts]) * down[self.starts])
 
     def bytes_of(self, i: int) -> bytes:
         return self.raw[self.starts[i] : self.ends[i]].tobytes()
 
 
-def split_words(texts: Sequence[str | None]) -> Words:
-    plain = [t or "" for t in texts]
+def split_words(texts: Sequence[str | None], bare: bool = False) -> Words:
+    """Words of the texts.  ``bare`` words are in lower case and end at any ASCII
+    character that is no letter or digit, so that case and punctuation don't count."""
+    plain = [(t.lower() if bare else t) if t else "" for t in texts]
     parts = [t.encode("utf-8", "surrogatepass") for t in plain]
     raw = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
     lengths = np.array([len(p) + 1 for p in parts], dtype=np.int64)
     text_starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64) if len(parts) else np.zeros(0, np.int64)
     space = np.ones(len(raw) + 1, dtype=bool)
-    space[1:] = _SPACE[raw]
+    space[1:] = (_NOT_WORD if bare else _SPACE)[raw]
     edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[0::2], edges[1::2]
     bounds = np.append(np.searchsorted(starts, text_starts), len(starts)).astype(np.int64)
