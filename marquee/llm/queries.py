@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, decontaminate, html_text, ngram_join, repetition, secrets, toxicity, url_filters
+from marquee.llm import attention_lm, bpe, decontaminate, html_text, ngram_join, repetition, resampling, secrets, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,15 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target texts: those with quality label 1.  The sample is as large a share of all
+    documents as they are of the labelled ones."""
+    labels = table(spark, sf_dir, "labels").filter("quality is not null")
+    share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0] or 0.0
+    return resampling.resample(table(spark, sf_dir, "documents"), labels.filter("quality = 1"), share)
+
+
 @query()
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -72,6 +81,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query()
+def op6_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    return attention_lm.lm_scores(table(spark, sf_dir, "documents"), held_out)
+
+
 @query(
     rf"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
