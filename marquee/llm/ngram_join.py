@@ -43,7 +43,7 @@ from marquee.llm.words import blocks, mix, split_words
 
 HOT_TOKENS = 262_144  # at most so many tokens in the broadcast order: 12 bytes each
 HOT_COUNT = 8  # a token in fewer documents is ordered by its hash
-TOKENS_PER_SORT = 4_000_000  # bound of a task's buffer
+TOKENS_PER_SORT = 1_000_000  # bound of a task's buffer
 ORDERS = 3
 
 

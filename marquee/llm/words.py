@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 _BYTE_CODES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -66,7 +66,7 @@ class Words:
     def hashes(self, lower: bool, first: int | None = None) -> np.ndarray:
         """64-bit hash of each word, or of its first bytes, A-Z in lower case if asked."""
         n = len(self.raw)
-        up, down = _powers(1 << max(21, int(n).bit_length()))
+        up, down = _powers(1 << max(20, int(n).bit_length()))
         codes = _BYTE_CODES[_LOWER[self.raw] if lower else self.raw]
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(codes * up[:n], out=total[1:])
