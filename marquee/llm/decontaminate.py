@@ -62,15 +62,15 @@ def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, n
             yield batch.column(0).slice(begin, end - begin), words.hashes(lower=False), words.doc, words.bounds
 
 
-def _grams(hashes: np.ndarray, doc: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Seeds and the index of their first words; a shorter text is one seed."""
+def _grams(hashes: np.ndarray, doc: np.ndarray, bounds: np.ndarray, width: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``width`` words and the index of their first words; a shorter text is one run."""
     n = len(hashes)
     counts = np.diff(bounds)[doc] if n else np.zeros(0, np.int64)
     place = np.arange(n) - bounds[:-1][doc] if n else np.zeros(0, np.int64)
-    wide = np.minimum(counts, SEED_WORDS)
+    wide = np.minimum(counts, width)
     at = np.flatnonzero(place + wide <= counts) if n else np.zeros(0, np.int64)
     gram = np.full(len(at), 0xDEC0, dtype=np.uint64)
-    for k in range(SEED_WORDS):
+    for k in range(width):
         follow = mix(gram * np.uint64(0x9E3779B97F4A7C15) + hashes[np.minimum(at + k, max(n - 1, 0))]) if n else gram
         gram = np.where(k < wide[at], follow, gram)
     return gram, at
@@ -94,8 +94,9 @@ def item_words(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     return source.mapInArrow(run, _ITEMS).filter("size(words) > 0")
 
 
-def seed_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
+def seed_hits(docs: DataFrame, grams: DataFrame, widths: list[int]) -> DataFrame:
     """(doc_id, gram, at): places in the corpus of n-grams that the bitmap lets through.
+    ``widths`` are the lengths of seeds in words: the usual one, and those of shorter items.
 
     The bitmap's slot of an n-gram is its low bits, so that numpy can look it up.
     """
@@ -104,7 +105,8 @@ def seed_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, hashes, doc, bounds in _word_lists(batches):
-            gram, at = _grams(hashes, doc, bounds)
+            runs = [_grams(hashes, doc, bounds, width) for width in widths]
+            gram, at = (np.concatenate(x) for x in zip(*runs, strict=True))
             hit = np.flatnonzero(has(shared.value, (gram & np.uint64(low)).astype(np.int64)))
             owner = doc[at[hit]]
             yield record_batch(
@@ -195,7 +197,8 @@ def contaminated(
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     items = written(item_words(benchmark, item_id, text).dropDuplicates(["item_id", "words"]), "items")
     placed = items.select("item_id", F.size("words").alias("m"), F.posexplode("grams").alias("item_at", "gram"))
-    hits = written(seed_hits(source, placed.select("gram")).join(placed.select("gram").distinct(), "gram", "left_semi"), "seed-hits")
+    widths = sorted({SEED_WORDS} | {r["m"] for r in placed.filter(F.col("m") < SEED_WORDS).select("m").distinct().collect()})
+    hits = written(seed_hits(source, placed.select("gram"), widths).join(placed.select("gram").distinct(), "gram", "left_semi"), "seed-hits")
     df = hits.groupBy("gram", "doc_id").count().groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     counted = placed.join(df, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     middle = counted.groupBy("item_id").agg(F.percentile_approx("df", 0.5, 10_000).alias("middle"))
