@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.skew import HOT_ROWS, SLICE, hot_keys, sliced
+from marquee.skew import HOT_ROWS, SLICE, hot_keys, null_safe_join, sliced
 
 DAY = 86_400
 
@@ -49,16 +49,19 @@ class History:
             hot = hot_keys(df, self.keys, self.hot_rows)
         if hot.isEmpty():
             return Laid(self, df, False)
-        return Laid(self, sliced(df, self.keys, hot, F.floor(F.col(self.time) / self.span)), True)
+        no_key = not hot.filter(" or ".join(f"`{k}` is null" for k in self.keys)).isEmpty()
+        return Laid(self, sliced(df, self.keys, hot, F.floor(F.col(self.time) / self.span)), True, no_key)
 
 
 @dataclass(frozen=True)
 class Laid:
-    """Rows ready for per-key windows; ``cut`` when some keys are sliced."""
+    """Rows ready for per-key windows; ``cut`` when some keys are sliced, ``no_key``
+    when rows without a key are."""
 
     history: History
     df: DataFrame
     cut: bool
+    no_key: bool = False
 
     @property
     def place(self) -> list[str]:
@@ -83,6 +86,8 @@ class Laid:
 
     def bring(self, df: DataFrame, carry: DataFrame) -> DataFrame:
         """Carry values to their slice: only the small carry table moves."""
+        if self.no_key:
+            return null_safe_join(df, carry, self.place, "left")
         return df.join(carry, on=self.place, how="left")
 
     def bring_per_key(self, df: DataFrame, per_key: DataFrame) -> DataFrame:
@@ -90,7 +95,8 @@ class Laid:
         it is repeated once per slice they have."""
         if self.cut:
             slices = self.df.filter("_hot").select(*self.place).distinct()
-            per_key = per_key.join(slices, on=list(self.history.keys), how="left").withColumn(
+            joined = null_safe_join(per_key, slices, self.history.keys, "left") if self.no_key else per_key.join(slices, on=list(self.history.keys), how="left")
+            per_key = joined.withColumn(
                 SLICE, F.coalesce(F.col(SLICE), F.lit(0).cast("bigint"))
             )
         return self.bring(df, per_key)

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -80,7 +80,7 @@ def lookup_embedding(
     out: str = "emb",
     table_id: str = "id",
     table_emb: str = "emb",
-    hot: DataFrame | None = None,
+    hot: DataFrame | Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Dense row of an id, the zero vector for an unknown id.
 

@@ -16,7 +16,7 @@ from marquee.operators.metrics import check_labels
 from marquee.operators.samples import with_int_id
 from marquee.plans.queries_samples import GENRE_INDEX_CTE, KEY, SQL_KEY, _YEAR
 from marquee.plans.registry import query, sql
-from marquee.sources.adapters import item_vectors, movies, ratings, tag_samples
+from marquee.sources.adapters import VECTOR_DIM, item_vectors, movies, ratings, tag_samples
 
 # -------------------------------------------------------------- text
 
@@ -149,12 +149,12 @@ def q_softmax(spark: SparkSession, sf: str) -> DataFrame:
     "argmax_label",
     sql(
         "vectors",
-        """SELECT id, 'dim' || (list_position(emb[1:10], list_max(emb[1:10])) - 1) AS best FROM vectors""",
+        """SELECT id, 'dim' || (list_position(emb, list_max(emb)) - 1) AS best FROM vectors""",
     ),
 )
 def q_argmax(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.slice("emb", 1, 10)
-    return item_vectors(spark, sf).select("id", N.argmax_label(head, [f"dim{i}" for i in range(10)]).alias("best"))
+    labels = [f"dim{i}" for i in range(VECTOR_DIM)]
+    return item_vectors(spark, sf).select("id", N.argmax_label(F.col("emb"), labels).alias("best"))
 
 
 # ------------------------------------------------------- vectors

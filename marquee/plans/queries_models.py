@@ -58,7 +58,7 @@ def q_wide(spark: SparkSession, sf: str) -> DataFrame:
 @query("train_fm")
 def q_fm_model(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
-    return _scored(L.train_fm(samples, CATEGORICAL, NUMERIC, n=256), samples)
+    return _scored(L.train_fm(samples, CATEGORICAL, NUMERIC), samples)
 
 
 @query("train_cf")
@@ -70,7 +70,7 @@ def q_cf(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sweep")
 def q_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return L.sweep(click_samples(spark, sf), CATEGORICAL, [5, 10, 20, 40], NUMERIC)
+    return L.sweep(click_samples(spark, sf), CATEGORICAL, L.SWEEP_STEPS, NUMERIC)
 
 
 @query("save_and_load_model")
@@ -78,7 +78,7 @@ def q_save(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
     path = scratch_path(spark, "model")
     save_model(L.train_logistic(samples, CATEGORICAL, NUMERIC, n=1 << 12), path)
-    return _scored(load_model(path), samples)
+    return _scored(load_model(spark, path), samples)
 
 
 @query("evaluate_model")

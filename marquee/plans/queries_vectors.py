@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.durable import written
 from marquee.functions.encoders import hash_bucket
 from marquee.functions.numeric import dot, vec_sum
 from marquee.functions.text import genre_slot
@@ -21,12 +22,17 @@ from marquee.skew import hot_keys, skew_join
 from marquee.sources.adapters import USER_HISTORY, VECTOR_DIM, item_vectors, movies, ratings, ratings_table
 
 
+def _rounded(df: DataFrame, *names: str) -> DataFrame:
+    """Scores are ranked as they are and rounded for the comparison only."""
+    return df.withColumns({n: F.round(n, 6) + F.lit(0.0) for n in names})
+
+
 def _positions(df: DataFrame, *ids: str, emb: str = "emb", digits: int = 6) -> DataFrame:
     return df.select(*ids, F.posexplode(emb).alias("pos", "v")).withColumn("v", F.round("v", digits))
 
 
 _DOT = "list_dot_product({a}, {b})"
-_COS = "round(list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b}))), 6) + 0.0"
+_RAW_COS = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
 
 @query(
@@ -46,42 +52,43 @@ def q_lookup(spark: SparkSession, sf: str) -> DataFrame:
     "similar_items",
     sql(
         "vectors",
-        f"""SELECT * FROM (SELECT id, item, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, item)::INTEGER AS rank
-              FROM (SELECT a.id, b.id AS item, {_COS.format(a='a.emb', b='b.emb')} AS score FROM vectors a JOIN vectors b ON a.id <> b.id))
+        f"""SELECT id, item, round(score, 6) + 0.0 AS score, rank FROM (SELECT id, item, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, item)::INTEGER AS rank
+              FROM (SELECT a.id, b.id AS item, {_RAW_COS.format(a='a.emb', b='b.emb')} AS score FROM vectors a JOIN vectors b ON a.id <> b.id))
             WHERE rank <= 20""",
     ),
 )
 def q_similar(spark: SparkSession, sf: str) -> DataFrame:
-    return R.similar_items(item_vectors(spark, sf), 20)
+    return _rounded(R.similar_items(item_vectors(spark, sf), 20), "score")
 
 
 @query(
     "find_synonyms",
     sql(
         "vectors",
-        f"SELECT b.id, {_COS.format(a='a.emb', b='b.emb')} AS similarity FROM vectors a JOIN vectors b ON a.id = 158 AND b.id <> 158 ORDER BY similarity DESC, id LIMIT 20",
+        f"SELECT id, round(s, 6) + 0.0 AS similarity FROM (SELECT b.id, {_RAW_COS.format(a='a.emb', b='b.emb')} AS s FROM vectors a JOIN vectors b ON a.id = 158 AND b.id <> 158) ORDER BY s DESC, id LIMIT 20",
     ),
 )
 def q_synonyms(spark: SparkSession, sf: str) -> DataFrame:
-    return R.find_synonyms(item_vectors(spark, sf), 158, 20)
+    return _rounded(R.find_synonyms(item_vectors(spark, sf), 158, 20), "similarity")
 
 
-_DIST = "round(sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) ** 2))), 6)"
+_RAW_DIST = "sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) ** 2)))"
+_DIST = f"round({_RAW_DIST}, 6)"
 # The ten-dimensional sample vector of the search, padded with zeros.
 SAMPLE_PROBE = [0.795, 0.583, 1.120, 0.850, 0.174, -0.839, -0.0633, 0.249, 0.673, -0.237] + [0.0] * (VECTOR_DIM - 10)
 
 
 @query(
     "nearest_k",
-    sql("vectors", f"SELECT id, {_DIST.format(a='emb', b=str(SAMPLE_PROBE))} AS distance FROM vectors ORDER BY distance, id LIMIT 5"),
+    sql("vectors", f"SELECT id, round(d, 6) AS distance FROM (SELECT id, {_RAW_DIST.format(a='emb', b=str(SAMPLE_PROBE))} AS d FROM vectors) ORDER BY d, id LIMIT 5"),
 )
 def q_nearest(spark: SparkSession, sf: str) -> DataFrame:
-    return R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=True)
+    return _rounded(R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=True), "distance")
 
 
 @query("approx_nearest")
 def q_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=False)
+    return _rounded(R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=False), "distance")
 
 
 @query("lsh_buckets")
@@ -97,13 +104,43 @@ CLOSE = 1.1
     sql(
         "vectors",
         f"""SELECT * FROM (SELECT a.id AS id_a, b.id AS id_b, {_DIST.format(a='a.emb', b='b.emb')} AS distance
-              FROM vectors a JOIN vectors b ON a.id < b.id) WHERE distance <= {CLOSE}""",
+              FROM reps a JOIN reps b ON a.id < b.id) WHERE distance <= {CLOSE}""",
+        "reps AS (SELECT min(id) AS id, emb FROM vectors GROUP BY emb)",
     ),
 )
 def q_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return R.similar_pairs(item_vectors(spark, sf), CLOSE)
 
 
+# Every vector and two copies of every seventh.
+COPIED = "copied AS (SELECT id, emb FROM vectors UNION ALL SELECT id + 1000000 * k, emb FROM vectors, (VALUES (1), (2)) t(k) WHERE id % 7 = 0)"
+
+
+def copied_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    v = item_vectors(spark, sf).select("id", "emb")
+    more = v.filter("id % 7 = 0").withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    return v.unionByName(more.select((F.col("id") + 1000000 * F.col("k")).alias("id"), "emb"))
+
+
+@query("copy_classes", sql("vectors", "SELECT min(id) OVER (PARTITION BY emb) AS rep, id FROM copied", COPIED))
+def q_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return R.copy_classes(copied_vectors(spark, sf))
+
+
+@query(
+    "pairs_of_copies",
+    sql(
+        "vectors",
+        f"""SELECT * FROM (SELECT a.id, b.id AS other, {_DIST.format(a='a.emb', b='b.emb')} AS distance
+              FROM copied a JOIN copied b ON a.id <> b.id AND a.id % 10 = 0) WHERE distance <= {CLOSE}""",
+        COPIED,
+    ),
+)
+def q_pairs_of(spark: SparkSession, sf: str) -> DataFrame:
+    v = copied_vectors(spark, sf)
+    return R.pairs_of(R.similar_pairs(v, CLOSE), R.copy_classes(v), v.filter("id % 10 = 0"))
+
+
 @query("similar_pairs_lsh")
 def q_pairs_lsh(spark: SparkSession, sf: str) -> DataFrame:
     return R.similar_pairs(item_vectors(spark, sf), CLOSE, exact=False, bucket_length=0.5)
@@ -137,8 +174,8 @@ def q_user_embedding(spark: SparkSession, sf: str) -> DataFrame:
     "recommend_for_users",
     sql(
         "ratings vectors",
-        """SELECT * FROM (SELECT id, item, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, item)::INTEGER AS rank FROM (
-             SELECT u."userId" AS id, v.id AS item, round(list_dot_product(u.emb, v.emb), 6) + 0.0 AS score
+        """SELECT id, item, round(score, 6) + 0.0 AS score, rank FROM (SELECT id, item, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, item)::INTEGER AS rank FROM (
+             SELECT u."userId" AS id, v.id AS item, list_dot_product(u.emb, v.emb) AS score
              FROM user_vectors u CROSS JOIN vectors v
              WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r."userId" = u."userId" AND r."movieId" = v.id))) WHERE rank <= 10""",
         USER_VECTOR_CTE,
@@ -147,7 +184,7 @@ def q_user_embedding(spark: SparkSession, sf: str) -> DataFrame:
 def q_recommend(spark: SparkSession, sf: str) -> DataFrame:
     users = user_vectors(spark, sf).withColumnRenamed("userId", "id")
     seen = ratings(spark, sf).select(F.col("userId").alias("id"), F.col("movieId").alias("item"))
-    return R.recommend_for_users(users, item_vectors(spark, sf), 10, seen)
+    return _rounded(R.recommend_for_users(users, item_vectors(spark, sf), 10, seen), "score")
 
 
 _N = "(SELECT count(*) FROM vectors)"
@@ -157,14 +194,14 @@ _N = "(SELECT count(*) FROM vectors)"
     "fm_cross_terms",
     sql(
         "ratings vectors genre_rows",
-        f"""SELECT {SQL_KEY}, round(list_dot_product(i.emb, u.emb), 6) + 0.0 AS item_user,
-                   round(list_dot_product(ig.emb, ug.emb), 6) + 0.0 AS "itemGenre_userGenre",
-                   round(list_dot_product(ig.emb, u.emb), 6) + 0.0 AS "itemGenre_user",
-                   round(list_dot_product(i.emb, ug.emb), 6) + 0.0 AS "item_userGenre"
+        f"""SELECT {SQL_KEY}, round(coalesce(list_dot_product(i.emb, u.emb), 0), 6) + 0.0 AS item_user,
+                   round(coalesce(list_dot_product(ig.emb, ug.emb), 0), 6) + 0.0 AS "itemGenre_userGenre",
+                   round(coalesce(list_dot_product(ig.emb, u.emb), 0), 6) + 0.0 AS "itemGenre_user",
+                   round(coalesce(list_dot_product(i.emb, ug.emb), 0), 6) + 0.0 AS "item_userGenre"
             FROM (SELECT r.*, string_split(genres, '|')[1] AS ig_name, p.genre AS ug_name FROM ratings r
-                  JOIN movies USING ("movieId") JOIN (SELECT * FROM preference WHERE rank = 1) p ON p."userId" = r."userId") s
-            JOIN vectors i ON i.id = {sql_md5('"movieId"::VARCHAR')} % {_N} JOIN vectors u ON u.id = {sql_md5('"userId"::VARCHAR')} % {_N}
-            JOIN vectors ig ON ig.id = {sql_md5('ig_name')} % {_N} JOIN vectors ug ON ug.id = {sql_md5('ug_name')} % {_N}""",
+                  LEFT JOIN movies USING ("movieId") LEFT JOIN (SELECT * FROM preference WHERE rank = 1) p ON p."userId" = r."userId") s
+            LEFT JOIN vectors i ON i.id = {sql_md5('"movieId"::VARCHAR')} % {_N} LEFT JOIN vectors u ON u.id = {sql_md5('"userId"::VARCHAR')} % {_N}
+            LEFT JOIN vectors ig ON ig.id = {sql_md5('ig_name')} % {_N} LEFT JOIN vectors ug ON ug.id = {sql_md5('ug_name')} % {_N}""",
         *GENRE_PREFERENCE_CTES,
     ),
 )
@@ -175,11 +212,13 @@ def q_fm(spark: SparkSession, sf: str) -> DataFrame:
     first = m.select("movieId", genre_slot(F.col("genres"), 1).alias("ig_name"))
 
     def index(name: str, out: str):
-        return F.pmod(hash_bucket(F.col(name), 1 << 60, "md5"), F.col("_n")).alias(out)
+        hashed = F.pmod(hash_bucket(F.col(name), 1 << 60, "md5"), F.col("_n"))
+        return F.when(F.col(name).isNotNull(), hashed).alias(out)
 
-    sampled = skew_join(join_movies(r, first), favourite, ["userId"], how="inner", hot=hot_keys(r, ["userId"]))
+    # A user without a favourite genre keeps all samples: that field has the zero vector.
+    sampled = skew_join(join_movies(r, first), favourite, ["userId"], how="left", hot=lambda: hot_keys(r, ["userId"]))
     fields = [("movieId", "item"), ("userId", "user"), ("ig_name", "itemGenre"), ("ug_name", "userGenre")]
-    indexed = sampled.withColumn("_n", n).select(*KEY, *[index(a, b) for a, b in fields])
+    indexed = written(sampled.withColumn("_n", n).select(*KEY, *[index(a, b) for a, b in fields]), "indexed")
     terms = ["item_user", "itemGenre_userGenre", "itemGenre_user", "item_userGenre"]
     crossed = R.fm_cross_terms(indexed, {b: v for _, b in fields}, VECTOR_DIM)
     return crossed.select(*KEY, *[F.round(t, 6).alias(t) for t in terms])

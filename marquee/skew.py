@@ -12,7 +12,8 @@ All three are exact for *any* set of hot keys; the set only steers the work.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,12 +55,17 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add boolean ``_hot``.  The hot list is bounded by construction, hence the
-    broadcast; the big side is not moved."""
-    marked = hot.select(*keys).withColumn("_hot", F.lit(True))
-    return df.join(F.broadcast(marked), on=list(keys), how="left").withColumn(
-        "_hot", F.coalesce(F.col("_hot"), F.lit(False))
-    )
+    """Add boolean ``_hot``; a NULL key can be hot too.  The hot list is bounded by
+    construction, hence the broadcast; the big side is not moved."""
+    marked = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
+    return null_safe_join(df, marked, keys, "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join in which a NULL key meets a NULL key; one copy of the keys is kept."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def salted_join(
@@ -102,16 +108,19 @@ def skew_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    hot: DataFrame | None = None,
+    hot: DataFrame | Callable[[], DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join against a dimension: by the planner's size-checked broadcast when it
     is small, salted around the hot keys of ``left`` otherwise.  ``hot`` saves
-    counting when the caller already knows the keys."""
+    counting when the caller already knows the keys, or says from what to count
+    them; it is asked only when the dimension is too big."""
     if fits_broadcast(right):
         return left.join(right, on=list(keys), how=how)
     if hot is None:
         hot = hot_keys(left, keys, hot_rows)
+    elif callable(hot):
+        hot = hot()
     if hot.isEmpty():
         return left.join(right, on=list(keys), how=how)
     return salted_join(left, right, keys, hot, how)

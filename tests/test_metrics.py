@@ -27,7 +27,7 @@ def test_roc_auc(spark, rows):
         return
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert got == pytest.approx(want, abs=1e-12)
-    mapped = [(y, 3 * s + 1) for y, s in rows]
+    mapped = [(y, 4 * s) for y, s in rows]  # exact for every float, also below the normal ones
     flipped = [(y, -s) for y, s in rows]
     assert V.roc_auc(frame(spark, mapped)).first()[0] == pytest.approx(want, abs=1e-12)
     assert V.roc_auc(frame(spark, flipped)).first()[0] == pytest.approx(1 - want, abs=1e-12)

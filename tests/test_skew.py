@@ -142,7 +142,7 @@ def test_blocked_top_k_is_exact(spark, block, metric):
             s = (mat @ v) / (np.linalg.norm(mat, axis=1) * np.linalg.norm(v))
         else:
             s = -np.sqrt(np.maximum(((mat - v) ** 2).sum(1), 0))
-        order = sorted((-round(float(x), 6) + 0.0, rows[j][0]) for j, x in enumerate(s) if j != i)[:5]
+        order = sorted((-round(float(x), 11) + 0.0, rows[j][0]) for j, x in enumerate(s) if j != i)[:5]
         assert [g[1] for g in sorted(got[key])] == [o[1] for o in order]
 
 
@@ -167,8 +167,14 @@ def test_similar_pairs(spark, block):
             d = round(float(np.linalg.norm(mat[a] - mat[b])), 6)
             if d <= 2.0:
                 want[(a, b)] = d
-    want.update({(0, 30 + i): 0.0 for i in range(20)})
     assert got == want
+    classes = R.copy_classes(df)
+    assert sorted(map(tuple, classes.collect())) == sorted([(i, i) for i in range(30)] + [(0, 30 + i) for i in range(20)])
+    # Copies and their neighbours written out: every pair of ids, as a plain self join finds them.
+    all_ids = np.array([v for _, v in rows])
+    full = {(a, b): round(float(np.linalg.norm(all_ids[a] - all_ids[b])), 6) for a in range(50) for b in range(50) if a != b}
+    asked = R.pairs_of(R.similar_pairs(df, 2.0, block_rows=block), classes, df.filter("id in (0, 3, 41)")).collect()
+    assert {(r.id, r.other): r.distance for r in asked} == {k: d for k, d in full.items() if d <= 2.0 and k[0] in (0, 3, 41)}
     near = {(r.id_a, r.id_b) for r in R.similar_pairs(df, 2.0, exact=False, bucket_length=4.0, block_rows=block).collect()}
     assert near <= set(want) and len(near) > len(want) // 2
 
@@ -189,3 +195,23 @@ def test_training_samples_with_hot_users_and_movies(spark, big_user, scope):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == want and sum(got.values()) == big_user.count()
+
+
+def test_ranks_of_tiny_scores(spark):
+    """Scores far below any fixed number of decimals still decide."""
+    users = spark.createDataFrame([(1, [1e-4, 0.0])], "id bigint, emb array<double>")
+    items = spark.createDataFrame([(1, [1e-4, 0.0]), (2, [5e-4, 0.0]), (3, [9e-4, 0.0])], "id bigint, emb array<double>")
+    got = R.recommend_for_users(users, items, 1).collect()
+    assert [(r.item, r.score) for r in got] == [(3, pytest.approx(9e-8))]
+
+
+def test_rows_without_a_key_are_sliced(spark):
+    """A third of the rows has no user: they are cut into slices and windowed as one key."""
+    rows = [(None if i % 3 == 0 else i % 7, i % 11, (i % 10) / 2, (i * 37 % 300) * 3600, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp bigint, line int")
+    plain, small = H.History(ties=("line",)), H.History(ties=("line",), hot_rows=50)
+    laid = small.lay_out(df)
+    assert laid.no_key and laid.df.filter("userId is null and not _hot").isEmpty()
+    assert laid.df.filter("userId is null").select("_slice").distinct().count() > 5
+    for f in (H.with_position, H.prior_stats, H.next_item):
+        assert bag(f(df, history=small)) == bag(f(df, history=plain))
