@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import round_2dp, split_genres
+from marquee.functions.text import release_year, round_2dp, split_genres
 from marquee.operators.samples import POSITIVE, attach_scalar, join_movies, order_by_rating, top_k_per_group
 
 TOP_RATINGS = 10
@@ -104,9 +104,16 @@ def top_ratings(ratings: DataFrame, n: int = TOP_RATINGS, ties: tuple[str, ...]
     return top_k_per_group(ratings, ["movieId"], order, n)
 
 
-def movie_profile(ratings: DataFrame, movies: DataFrame, n: int = TOP_RATINGS, ties: tuple[str, ...] = ("timestamp", "userId")) -> DataFrame:
-    """Nested profile row per movie (A11): number and average of its ratings and
-    its n best ones.  Groups are limited to n rows before the shuffle."""
+def movie_profile(
+    ratings: DataFrame,
+    movies: DataFrame,
+    n: int = TOP_RATINGS,
+    ties: tuple[str, ...] = ("timestamp", "userId"),
+    links: DataFrame | None = None,
+) -> DataFrame:
+    """Nested profile row per movie (A11): title, year, genres as a list, external ids
+    where ``links`` has them, number and average of its ratings and its n best ones.
+    Groups are limited to n rows before the shuffle."""
     best = (
         top_ratings(ratings, n, ties)
         .groupBy("movieId")
@@ -127,28 +134,38 @@ def movie_profile(ratings: DataFrame, movies: DataFrame, n: int = TOP_RATINGS, t
     stats = ratings.groupBy("movieId").agg(
         F.count(F.lit(1)).alias("ratingNumber"), F.avg("rating").alias("averageRating")
     )
+    ids = ["imdbId", "tmdbId"]
+    linked = movies.withColumns({c: F.lit(None).cast("string") for c in ids}) if links is None else movies.join(links, "movieId", "left")
+    described = linked.select(
+        "movieId", "title", release_year(F.col("title")).alias("releaseYear"), *ids, split_genres(F.col("genres")).alias("genres")
+    )
     return (
-        movies.join(stats, on="movieId", how="left")
+        described.join(stats, on="movieId", how="left")
         .join(best, on="movieId", how="left")
         .withColumn("ratingNumber", F.coalesce("ratingNumber", F.lit(0)))
         .withColumn("averageRating", F.coalesce("averageRating", F.lit(0.0)))
     )
 
 
-def movie_lookup(profiles: DataFrame, ids: DataFrame) -> DataFrame:
-    """Profile rows of the requested ids."""
-    return profiles.join(ids.select("movieId").distinct(), on="movieId", how="left_semi")
+def movie_lookup(ratings: DataFrame, movies: DataFrame, ids: DataFrame, links: DataFrame | None = None, **settings) -> DataFrame:
+    """Profile rows of the requested ids (R4): ratings and movies are restricted
+    before anything is aggregated."""
+    wanted = ids.select("movieId").distinct()
+    few = [df.join(wanted, on="movieId", how="left_semi") for df in (ratings, movies)]
+    return movie_profile(*few, links=links, **settings)
 
 
 def popular_by_genre(
     ratings: DataFrame, movies: DataFrame, k: int = 10, sort: str = "rating", genre: str | None = None
 ) -> DataFrame:
-    """The k best movies of a genre, or of every genre."""
+    """The k best movies of a genre, or of every genre (R4), by average rating, number
+    of ratings or year of release."""
     measures = {"rating": "averageRating", "number": "ratingNumber", "releaseYear": "releaseYear"}
     stats = ratings.groupBy("movieId").agg(
         F.count(F.lit(1)).alias("ratingNumber"), F.avg("rating").alias("averageRating")
     )
-    listed = movies.withColumn("genre", F.explode(F.array_distinct(split_genres(F.col("genres")))))
+    dated = movies.withColumn("releaseYear", release_year(F.col("title")))
+    listed = dated.withColumn("genre", F.explode(F.array_distinct(split_genres(F.col("genres")))))
     if genre is not None:
         listed = listed.filter(F.col("genre") == genre)
     ranked = listed.join(stats, on="movieId", how="left").fillna(0, subset=["ratingNumber", "averageRating"])

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marquee.durable import written
 from marquee.functions import encoders as E
 from marquee.functions import numeric as N
 from marquee.functions import text as T
@@ -362,10 +364,18 @@ def q_quantile_exact(spark: SparkSession, sf: str) -> DataFrame:
     return M.quantile_bucket_exact(stats, "ratingCount", "bucket", 100)
 
 
-@query("quantile_bucket")
+@query("quantile_bucket", "SELECT true AS ordered, true AS even")
 def q_quantile(spark: SparkSession, sf: str) -> DataFrame:
     stats = A.movie_rating_stats(ratings(spark, sf)).select("movieId", "ratingCount")
-    return M.quantile_bucket(stats, "ratingCount", "bucket", 100)
+    bucketed = written(M.quantile_bucket(stats, "ratingCount", "bucket", 100), "bucketed")
+    # Buckets are disjoint ranges in order; no bucket of several values holds far more than its share.
+    ranges = bucketed.groupBy("bucket").agg(
+        F.min("ratingCount").alias("lo"), F.max("ratingCount").alias("hi"), F.count(F.lit(1)).alias("n"), F.countDistinct("ratingCount").alias("kinds")
+    )
+    before = F.lag("hi").over(W.orderBy("bucket"))
+    placed = ranges.withColumn("after", F.coalesce(F.col("lo") > before, F.lit(True)))
+    share = F.lit(3) * bucketed.count() / 100 + 3
+    return placed.agg(F.bool_and("after").alias("ordered"), F.bool_and((F.col("kinds") == 1) | (F.col("n") <= share)).alias("even"))
 
 
 @query(
@@ -428,10 +438,11 @@ def q_assemble(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("hashed_features", sql("tags", "SELECT event_id, 262144 AS size FROM tags"))
+@query("hashed_features", sql("tags", "SELECT event_id, 262144 AS size, round(2 + score, 6) AS total FROM tags"))
 def q_hashed(spark: SparkSession, sf: str) -> DataFrame:
     hashed = M.hashed_features(tag_samples(spark, sf), ["tagid", "actiontype", "score"], categorical=["tagid"])
-    return hashed.select("event_id", *M.sparse_parts("features")).select("event_id", "size")
+    total = F.aggregate(F.unwrap_udt(F.col("features"))["values"], F.lit(0.0).cast("double"), lambda a, v: a + v)
+    return hashed.select("event_id", M.sparse_parts("features")[0], F.round(total, 6).alias("total"))
 
 
 @query(

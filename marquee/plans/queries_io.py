@@ -124,30 +124,45 @@ def q_embedding_text(spark: SparkSession, sf: str) -> DataFrame:
     "export_kv",
     sql(
         "vectors",
-        f"""SELECT 'i2vEmb:' || id AS key, {VECTOR_DIM} AS n, (1700000000 + 86400)::BIGINT AS expires_at FROM vectors""",
+        """SELECT 'i2vEmb:' || id AS key, generate_subscripts(emb, 1)::INTEGER - 1 AS pos, round(unnest(emb), 5) + 0.0 AS v,
+                  (1700000000 + 86400)::BIGINT AS expires_at FROM vectors""",
     ),
 )
 def q_export(spark: SparkSession, sf: str) -> DataFrame:
     rows = SK.export_kv(item_vectors(spark, sf), "i2vEmb", F.lit(1_700_000_000))
-    return rows.select("key", F.size(F.split("value", " ")).alias("n"), "expires_at")
+    parts = rows.select("key", F.posexplode(F.split("value", " ")).alias("pos", "v"), "expires_at")
+    return parts.withColumn("v", F.round(F.col("v").cast("float").cast("double"), 5) + F.lit(0.0))
 
 
 @query(
     "movie_profile_json",
     sql(
-        "ratings movies",
-        """SELECT "movieId", title, coalesce(n, 0)::BIGINT AS "ratingNumber", least(coalesce(n, 0), 10)::INTEGER AS tops, best
-           FROM movies LEFT JOIN (SELECT "movieId", count(*) AS n, max(rating) AS best FROM ratings GROUP BY 1) USING ("movieId")""",
+        "ratings movies links",
+        """SELECT "movieId", title, regexp_extract(title, '(\\d{4}).$', 1)::INTEGER AS "releaseYear", "imdbId", "tmdbId",
+                  replace(genres, '|', ',') AS genres, coalesce(n, 0)::BIGINT AS "ratingNumber", round(coalesce(a, 0), 6) AS "averageRating", coalesce(tops, '') AS tops
+           FROM movies JOIN links USING ("movieId")
+           LEFT JOIN (SELECT "movieId", count(*) AS n, avg(rating) AS a FROM ratings GROUP BY 1) USING ("movieId")
+           LEFT JOIN (SELECT "movieId", string_agg("movieId" || ':' || "userId" || ':' || (rating * 10)::INTEGER || ':' || "timestamp", ' ' ORDER BY r) AS tops FROM (
+             SELECT *, row_number() OVER (PARTITION BY "movieId" ORDER BY rating DESC, "timestamp", l_orderkey, l_linenumber, "userId") AS r FROM ratings)
+             WHERE r <= 10 GROUP BY 1) USING ("movieId")""",
     ),
 )
 def q_json(spark: SparkSession, sf: str) -> DataFrame:
-    text = SK.movie_profile_json(movie_profile(ratings_table(spark, sf), movies(spark, sf)))
-    shape = "title string, ratingNumber bigint, topRatings array<struct<rating:struct<movieId:bigint,userId:bigint,score:double>>>"
-    parsed = text.select("movieId", F.from_json("json", shape).alias("j"))
-    return parsed.select(
-        "movieId",
-        F.col("j.title").alias("title"),
-        F.col("j.ratingNumber").alias("ratingNumber"),
-        F.size("j.topRatings").alias("tops"),
-        F.get(F.col("j.topRatings.rating.score"), F.lit(0)).alias("best"),
+    ties = ("timestamp", "l_orderkey", "l_linenumber", "userId")
+    text = SK.movie_profile_json(movie_profile(ratings_table(spark, sf), movies(spark, sf), ties=ties, links=links(spark, sf)))
+    rating = "struct<movieId:bigint,userId:bigint,score:double,timestamp:bigint>"
+    shape = (
+        "movieId bigint, title string, releaseYear int, imdbId string, tmdbId string, genres array<string>, ratingNumber bigint, "
+        f"averageRating double, topRatings array<struct<rating:{rating}>>"
+    )
+    tops = F.transform(
+        "j.topRatings.rating",
+        lambda r: F.concat_ws(":", r["movieId"].cast("string"), r["userId"].cast("string"), (r["score"] * 10).cast("int").cast("string"), r["timestamp"].cast("string")),
+    )
+    plain = [f"j.{c}" for c in ("movieId", "title", "releaseYear", "imdbId", "tmdbId", "ratingNumber")]
+    return text.select(F.from_json("json", shape).alias("j")).select(
+        *plain,
+        F.array_join("j.genres", ",").alias("genres"),
+        F.round("j.averageRating", 6).alias("averageRating"),
+        F.array_join(tops, " ").alias("tops"),
     )

@@ -37,55 +37,71 @@ def _scored(model, samples: DataFrame) -> DataFrame:
     return L.score(model, samples).select("event_id", "label", F.round("probability", 6).alias("probability"))
 
 
-@query("train_logistic")
+# What SQL can say of a fit: every sample gets one probability, and their order is no
+# worse than chance on the samples that were learnt.
+_FITTED = sql("tags", "SELECT event_id, label::DOUBLE AS label, true AS valid, true AS learnt FROM tags")
+
+
+def _checked(scored: DataFrame) -> DataFrame:
+    """``scored`` with the probability replaced by what must hold of it."""
+    kept = written(scored, "scored")
+    area = V.roc_auc(kept, "label", "probability").select("rocAuc").scalar()
+    return kept.withColumns({"valid": F.col("probability").between(0, 1), "learnt": area >= 0.5}).drop("probability")
+
+
+@query("train_logistic", _FITTED)
 def q_logistic(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
-    return _scored(L.train_logistic(samples, CATEGORICAL, NUMERIC, n=1 << 12), samples)
+    return _checked(_scored(L.train_logistic(samples, CATEGORICAL, NUMERIC, n=1 << 12), samples))
 
 
-@query("train_mlp")
+@query("train_mlp", _FITTED)
 def q_mlp(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
-    return _scored(L.train_mlp(samples, CATEGORICAL, NUMERIC, hidden=L.HIDDEN["tag_new"]), samples)
+    return _checked(_scored(L.train_mlp(samples, CATEGORICAL, NUMERIC, hidden=L.HIDDEN["tag_new"]), samples))
 
 
-@query("train_wide")
+@query("train_wide", _FITTED)
 def q_wide(spark: SparkSession, sf: str) -> DataFrame:
     samples = L.with_cross(click_samples(spark, sf), ["tagid", "userid"])
-    return _scored(L.train_wide(samples), samples)
+    return _checked(_scored(L.train_wide(samples), samples))
 
 
-@query("train_fm")
+@query("train_fm", sql("tags", "SELECT event_id, label::DOUBLE AS label, true AS valid FROM tags"))
 def q_fm_model(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
-    return _scored(L.train_fm(samples, CATEGORICAL, NUMERIC), samples)
+    return _checked(_scored(L.train_fm(samples, CATEGORICAL, NUMERIC), samples)).drop("learnt")
 
 
-@query("train_cf")
+@query("train_cf", sql("ratings", 'SELECT "userId", "movieId", rating, true AS valid FROM ratings'))
 def q_cf(spark: SparkSession, sf: str) -> DataFrame:
     r = ratings_table(spark, sf)
     scored = L.train_cf(r).transform(r)
-    return scored.select("userId", "movieId", "rating", F.round("prediction", 4).alias("prediction"))
+    return scored.select("userId", "movieId", "rating", F.col("prediction").between(-10, 15).alias("valid"))
 
 
-@query("sweep")
+@query("sweep", "SELECT unnest(range(600, 981, 20))::INTEGER AS steps, true AS valid")
 def q_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return L.sweep(click_samples(spark, sf), CATEGORICAL, L.SWEEP_STEPS, NUMERIC)
+    found = L.sweep(click_samples(spark, sf), CATEGORICAL, L.SWEEP_STEPS, NUMERIC)
+    return found.select("steps", F.col("rocAuc").between(0, 1).alias("valid"))
 
 
-@query("save_and_load_model")
+@query("save_and_load_model", sql("tags", "SELECT event_id, label::DOUBLE AS label, true AS same FROM tags"))
 def q_save(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
     path = scratch_path(spark, "model")
-    save_model(L.train_logistic(samples, CATEGORICAL, NUMERIC, n=1 << 12), path)
-    return _scored(load_model(spark, path), samples)
+    model = L.train_logistic(samples, CATEGORICAL, NUMERIC, n=1 << 12)
+    save_model(model, path)
+    again = _scored(load_model(spark, path), samples).select("event_id", F.col("probability").alias("again"))
+    return _scored(model, samples).join(again, "event_id").select("event_id", "label", (F.col("probability") == F.col("again")).alias("same"))
 
 
-@query("evaluate_model")
+@query("evaluate_model", "SELECT true AS accuracy, true AS \"logLoss\", true AS \"prAuc\", true AS \"rocAuc\"")
 def q_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     samples = click_samples(spark, sf)
     model = L.train_logistic(samples, CATEGORICAL, NUMERIC, l1=0.0, n=1 << 12)
-    return V.evaluate(written(_scored(model, samples), "scored"))
+    found = V.evaluate(written(_scored(model, samples), "scored"))
+    return found.select(*[F.col(c).between(0, 1).alias(c) for c in ("accuracy", "logLoss", "prAuc")], (F.col("rocAuc") >= 0.5).alias("rocAuc"))
 
 
 @query(
@@ -184,17 +200,23 @@ def movie_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 def _movie_scores(model, samples: DataFrame) -> DataFrame:
     keys = ["userId", "movieId", "timestamp", "l_orderkey", "l_linenumber", "label"]
-    return L.score(model, samples).select(*keys, F.round("probability", 6).alias("probability"))
+    return L.score(model, samples).select(*keys, F.col("probability").between(0, 1).alias("valid"))
+
+
+_MOVIE_FITTED = sql(
+    "ratings",
+    """SELECT "userId", "movieId", "timestamp", l_orderkey, l_linenumber, (rating >= 3.5)::INTEGER::DOUBLE AS label, true AS valid FROM ratings""",
+)
 
 
-@query("train_movie_mlp")
+@query("train_movie_mlp", _MOVIE_FITTED)
 def q_movie_mlp(spark: SparkSession, sf: str) -> DataFrame:
     samples = movie_samples(spark, sf)
     model = L.train_mlp(samples, MOVIE_TEXTS, MOVIE_NUMBERS, hidden=L.HIDDEN["movie"], max_iter=5)
     return _movie_scores(model, samples)
 
 
-@query("train_movie_wide")
+@query("train_movie_wide", _MOVIE_FITTED)
 def q_movie_wide(spark: SparkSession, sf: str) -> DataFrame:
     samples = L.with_cross(movie_samples(spark, sf), ["movieId", "userRatedMovie1"])
     return _movie_scores(L.train_wide(samples, max_iter=20), samples)

@@ -315,8 +315,7 @@ def q_user_profile(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_movie_lookup(spark: SparkSession, sf: str) -> DataFrame:
     ids = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("movieId"))
-    profiles = A.movie_profile(ratings(spark, sf), movies(spark, sf))
-    return A.movie_lookup(profiles, ids).select("movieId", "title", "ratingNumber", *rounded("averageRating"))
+    return A.movie_lookup(ratings(spark, sf), movies(spark, sf), ids).select("movieId", "title", "ratingNumber", *rounded("averageRating"))
 
 
 @query(
@@ -337,6 +336,31 @@ def q_popular(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _popular_sql(measure: str, where: str = "true") -> str:
+    return sql(
+        "ratings genre_rows",
+        f"""SELECT genre, rank, "movieId", "ratingNumber", "releaseYear" FROM (
+             SELECT *, row_number() OVER (PARTITION BY genre ORDER BY "{measure}" DESC, "movieId")::INTEGER AS rank
+             FROM (SELECT g.genre, "movieId", coalesce(n, 0)::BIGINT AS "ratingNumber", regexp_extract(title, '(\d{{4}}).$', 1)::INTEGER AS "releaseYear"
+                   FROM (SELECT DISTINCT * FROM genre_rows WHERE {where}) g JOIN movies USING ("movieId")
+                   LEFT JOIN (SELECT "movieId", count(*) AS n FROM ratings GROUP BY 1) USING ("movieId")))
+           WHERE rank <= 10""",
+    )
+
+
+_POPULAR = ["genre", "rank", "movieId", "ratingNumber", "releaseYear"]
+
+
+@query("popular_by_number", _popular_sql("ratingNumber"))
+def q_popular_number(spark: SparkSession, sf: str) -> DataFrame:
+    return A.popular_by_genre(ratings(spark, sf), movies(spark, sf), 10, "number").select(*_POPULAR)
+
+
+@query("newest_of_genre", _popular_sql("releaseYear", "genre = 'Brand#11'"))
+def q_newest(spark: SparkSession, sf: str) -> DataFrame:
+    return A.popular_by_genre(ratings(spark, sf), movies(spark, sf), 10, "releaseYear", "Brand#11").select(*_POPULAR)
+
+
 # --------------------------------------------------------------- histories
 
 SEQUENCES_CTE = f"""placed AS (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY {SQL_ORDER}) - 1 AS pos

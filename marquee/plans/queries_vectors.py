@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.durable import written
 from marquee.functions.encoders import hash_bucket
-from marquee.functions.numeric import dot, vec_sum
+from marquee.functions.numeric import dot, euclidean, vec_sum
 from marquee.functions.text import genre_slot
 from marquee.operators import embedding as EM
 from marquee.operators import histories as H
@@ -31,6 +31,12 @@ def _positions(df: DataFrame, *ids: str, emb: str = "emb", digits: int = 6) -> D
     return df.select(*ids, F.posexplode(emb).alias("pos", "v")).withColumn("v", F.round("v", digits))
 
 
+def _finite(trained: DataFrame) -> DataFrame:
+    """Positions of trained vectors, whose values only have to be numbers."""
+    parts = trained.select("id", F.posexplode("emb").alias("pos", "v"))
+    return parts.select("id", "pos", (F.col("v").isNotNull() & ~F.isnan("v")).alias("finite"))
+
+
 _DOT = "list_dot_product({a}, {b})"
 _RAW_COS = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
@@ -86,14 +92,28 @@ def q_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=True), "distance")
 
 
-@query("approx_nearest")
+@query("approx_nearest", "SELECT 5::BIGINT AS n, true AS known, true AS not_nearer")
 def q_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=False), "distance")
-
-
-@query("lsh_buckets")
+    vectors = item_vectors(spark, sf)
+    found = R.approx_nearest(vectors, SAMPLE_PROBE, 5, exact=False)
+    probe = F.array(*[F.lit(v) for v in SAMPLE_PROBE])
+    least = R.nearest_k(vectors, probe, 1).agg(F.min("distance")).scalar()
+    true = vectors.select("id", euclidean(F.col("emb"), probe).alias("true"))
+    return found.join(true, "id", "left").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(F.abs(F.col("distance") - F.col("true")) < 1e-6).alias("known"),
+        F.bool_and(F.col("distance") >= least - 1e-6).alias("not_nearer"),
+    )
+
+
+@query("lsh_buckets", sql("vectors", 'SELECT id, 3::BIGINT AS tables, true AS near FROM vectors'))
 def q_buckets(spark: SparkSession, sf: str) -> DataFrame:
-    return R.lsh_buckets(item_vectors(spark, sf))
+    vectors = item_vectors(spark, sf)
+    # A projection of a vector is at most its length, so its bucket lies within length / width.
+    length = F.sqrt(dot(F.col("emb"), F.col("emb")))
+    hashed = R.lsh_buckets(vectors).join(vectors.select("id", length.alias("length")), "id")
+    near = F.abs(F.col("bucketId")) <= F.col("length") / 0.1 + 1
+    return hashed.groupBy("id").agg(F.countDistinct("hashTable").alias("tables"), F.bool_and(near).alias("near"))
 
 
 CLOSE = 1.1
@@ -141,9 +161,15 @@ def q_pairs_of(spark: SparkSession, sf: str) -> DataFrame:
     return R.pairs_of(R.similar_pairs(v, CLOSE), R.copy_classes(v), v.filter("id % 10 = 0"))
 
 
-@query("similar_pairs_lsh")
+@query("similar_pairs_lsh", "SELECT 0::BIGINT AS wrong, true AS recalled")
 def q_pairs_lsh(spark: SparkSession, sf: str) -> DataFrame:
-    return R.similar_pairs(item_vectors(spark, sf), CLOSE, exact=False, bucket_length=0.5)
+    vectors = item_vectors(spark, sf)
+    exact = written(R.similar_pairs(vectors, CLOSE), "pairs")
+    found = written(R.similar_pairs(vectors, CLOSE, exact=False, bucket_length=0.5), "pairs")
+    # Every found pair is real; at least half of the real ones are found.
+    share = F.count("found") >= F.count("real") / 2
+    both = exact.select("id_a", "id_b", F.lit(1).alias("real")).join(found.select("id_a", "id_b", F.lit(1).alias("found")), ["id_a", "id_b"], "full")
+    return both.agg(F.count(F.when(F.col("real").isNull(), 1)).alias("wrong"), share.alias("recalled"))
 
 
 USER_VECTOR_CTE = """user_vectors AS (
@@ -253,12 +279,23 @@ def q_attention(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------- trained embeddings
 
-@query("train_item2vec")
+_TRAINED_ITEMS = """known AS (SELECT "movieId" FROM ratings WHERE rating >= 3.5 GROUP BY 1 HAVING count(*) >= 5)"""
+
+
+@query(
+    "train_item2vec",
+    sql("ratings", 'SELECT "movieId"::VARCHAR AS id, unnest(range(10))::INTEGER AS pos, true AS finite FROM known', _TRAINED_ITEMS),
+)
 def q_item2vec(spark: SparkSession, sf: str) -> DataFrame:
     seqs = H.user_sequences(ratings_table(spark, sf), USER_HISTORY)
-    return _positions(EM.train_item2vec(seqs), "id")
+    return _finite(EM.train_item2vec(seqs))
 
 
-@query("train_graph_embedding")
+@query("train_graph_embedding", "SELECT 0::BIGINT AS strangers, 0::BIGINT AS broken, true AS any")
 def q_graph_embedding(spark: SparkSession, sf: str) -> DataFrame:
-    return _positions(EM.train_graph_embedding(pair_counts(spark, sf)), "id")
+    pairs = written(pair_counts(spark, sf), "pair-counts")
+    trained = written(_finite(EM.train_graph_embedding(pairs)), "embedding")
+    nodes = pairs.select(F.explode(F.array("src", "dst")).cast("string").alias("id")).distinct()
+    strange = trained.join(nodes, "id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    broken = trained.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("finite").alias("finite")).filter("n <> 10 or not finite")
+    return trained.agg((F.count(F.lit(1)) > 0).alias("any")).select(strange.alias("strangers"), broken.agg(F.count(F.lit(1))).scalar().alias("broken"), "any")

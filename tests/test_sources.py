@@ -107,8 +107,11 @@ def test_key_values(spark):
 
 def test_profile_json(spark):
     ratings = spark.createDataFrame([(1, 5, 4.0, 10), (2, 5, 4.5, 20)], "userId bigint, movieId bigint, rating double, timestamp bigint")
-    movies = spark.createDataFrame([(5, "Up (2009)"), (6, "None (2000)")], "movieId bigint, title string")
-    got = {r.movieId: json.loads(r.json) for r in SK.movie_profile_json(A.movie_profile(ratings, movies)).collect()}
+    movies = spark.createDataFrame([(5, "Up (2009)", "A|B"), (6, "None", None)], "movieId bigint, title string, genres string")
+    links = spark.createDataFrame([(5, "0077", "12"), (6, "0078", None)], "movieId bigint, imdbId string, tmdbId string")
+    got = {r.movieId: json.loads(r.json) for r in SK.movie_profile_json(A.movie_profile(ratings, movies, links=links)).collect()}
+    assert {k: got[5][k] for k in ("releaseYear", "imdbId", "tmdbId", "genres")} == {"releaseYear": 2009, "imdbId": "0077", "tmdbId": "12", "genres": ["A", "B"]}
+    assert got[6]["releaseYear"] == 1990 and "tmdbId" not in got[6]
     assert got[5]["ratingNumber"] == 2 and got[5]["averageRating"] == 4.25
     assert got[5]["topRatings"][0] == {"rating": {"movieId": 5, "userId": 2, "score": 4.5, "timestamp": 20}}
     assert got[6]["topRatings"] == [] and got[6]["ratingNumber"] == 0
