@@ -38,12 +38,13 @@ from pyspark.sql import types as T
 from marquee.durable import written
 from marquee.llm.bitmap import collect_bits, has, slot_of
 from marquee.llm.components import connected_components
-from marquee.llm.frames import record_batch
+from marquee.llm.frames import bounded_batches, record_batch
 from marquee.llm.words import blocks, mix, split_words
 
 HOT_TOKENS = 262_144  # at most so many tokens in the broadcast order: 12 bytes each
 HOT_COUNT = 8  # a token in fewer documents is ordered by its hash
 TOKENS_PER_SORT = 1_000_000  # bound of a task's buffer
+ROWS_AT_ONCE = 512
 ORDERS = 3
 
 
@@ -99,9 +100,11 @@ def shingle_sets(texts: list[str | None], width: int) -> Sets:
 
 def _each_block(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        for begin, end in blocks(values):
-            yield batch.slice(begin, end - begin), values[begin:end]
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            rows = batch.slice(at, ROWS_AT_ONCE)
+            values = rows.column(rows.schema.get_field_index(text)).to_pylist()
+            for begin, end in blocks(values):
+                yield rows.slice(begin, end - begin), values[begin:end]
 
 
 # ---- packed sorted integers: deltas as byte planes, which the shuffle's codec shrinks well
@@ -314,19 +317,14 @@ def could_link(like: Likeness, a: str, b: str) -> Column:
     return (like.under + like.over) * most.cast("bigint") >= like.over * (na + nb).cast("bigint")
 
 
-def whole_sets(docs: DataFrame, text: str, like: Likeness, wanted: DataFrame) -> DataFrame:
-    """(doc_id, tokens, other1, other2): whole sets and the prefixes under the further
-    orders, of the documents in ``wanted``.
+def sets_of(docs: DataFrame, like: Likeness, wanted: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` (``_PREFIXES`` or ``_WHOLE``) for the documents in ``wanted``.
 
     A bitmap of the wanted ids, of fixed size, keeps most other texts from being
     cut; an id it lets through for nothing is harmless.
     """
     slot = slot_of(F.col("doc_id"))
     shared = docs.sparkSession.sparkContext.broadcast(collect_bits(wanted, slot))
-    schema = T.StructType(
-        [T.StructField("doc_id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
-        + [T.StructField(f"prefix{k}", T.ArrayType(T.LongType())) for k in range(1, ORDERS)]
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
@@ -335,37 +333,56 @@ def whole_sets(docs: DataFrame, text: str, like: Likeness, wanted: DataFrame) ->
             hit = has(held, batch.column(2).fill_null(0).to_numpy())
             return batch.filter(pa.array(hit & np.array(batch.column(0).is_valid())))
 
-        for batch, values in _each_block((b for b in map(passed, batches) if b.num_rows), text):
+        for batch, values in _each_block((b for b in map(passed, batches) if b.num_rows), "text"):
             sets = shingle_sets(values, like.width)
-            columns = {
-                "doc_id": batch.column(0),
-                "n": sets.sizes.astype(np.int32),
-                "tokens": _lists(sets.tokens.astype(np.int64), sets.sizes, pa.int64()),
-            }
-            for k in range(1, ORDERS):
-                index, _ = prefixes(sets, order_keys(sets.tokens, k), like)
-                columns[f"prefix{k}"] = _lists(sets.tokens[index].astype(np.int64), np.bincount(sets.doc[index], minlength=len(values)), pa.int64())
+            columns = {"doc_id": batch.column(0)}
+            if schema is _WHOLE:
+                columns |= {"n": sets.sizes.astype(np.int32), "tokens": _lists(sets.tokens.astype(np.int64), sets.sizes, pa.int64())}
+            else:
+                for k in range(1, ORDERS):
+                    index, _ = prefixes(sets, order_keys(sets.tokens, k), like)
+                    upper = (sets.tokens[index] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    columns[f"prefix{k}"] = _lists(upper, np.bincount(sets.doc[index], minlength=len(values)), pa.int32())
             yield record_batch(columns, schema)
 
-    return docs.select("doc_id", text, slot.alias("slot")).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(run, schema)
+
+
+_PREFIXES = T.StructType(
+    [T.StructField("doc_id", T.LongType())] + [T.StructField(f"prefix{k}", T.ArrayType(T.IntegerType())) for k in range(1, ORDERS)]
+)
+_WHOLE = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
+)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+
+
+def _side(sets: DataFrame, end: str) -> DataFrame:
+    return sets.select(*[F.col(c).alias(end if c == "doc_id" else f"{end}_{c}") for c in sets.columns])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (u, v) that share prefix tokens under every further order and whose
-    whole sets are alike."""
-    names = [f"prefix{k}" for k in range(1, ORDERS)]
-    side = lambda end, columns: sets.select(F.col("doc_id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns])
-    filtered = pairs.join(side("u", names), "u").join(side("v", names), "v")
-    for c in names:
-        filtered = filtered.filter(F.arrays_overlap(f"u_{c}", f"v_{c}"))
-    whole = filtered.select("u", "v").join(side("u", ["n", "tokens"]), "u").join(side("v", ["n", "tokens"]), "v")
+    whole sets are alike.  Whole sets are cut for what the orders let through only."""
+    first = written(pairs, "ngram-pairs")
+    some = written(sets_of(docs, like, _ends(first), _PREFIXES), "ngram-prefixes")
+    both = first.join(_side(some, "u"), "u").join(_side(some, "v"), "v")
+    for k in range(1, ORDERS):
+        both = both.filter(F.arrays_overlap(f"u_prefix{k}", f"v_prefix{k}"))
+    passed = written(both.select("u", "v").distinct(), "ngram-pairs")
+    whole = written(sets_of(docs, like, _ends(passed), _WHOLE), "ngram-sets")
+    compared = passed.join(_side(whole, "u"), "u").join(_side(whole, "v"), "v")
     common = F.size(F.array_intersect("u_tokens", "v_tokens")).cast("bigint")
-    return whole.filter(like.linked(common, F.col("u_n").cast("bigint"), F.col("v_n").cast("bigint"))).select("u", "v").distinct()
+    return compared.filter(like.linked(common, F.col("u_n").cast("bigint"), F.col("v_n").cast("bigint"))).select("u", "v").distinct()
 
 
 def ngram_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", like: Likeness = Likeness()) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles`` and ``component_id``, the
     least id reachable by links (the own one without links)."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     hot = frequent_tokens(source, "text", like)
     rows = written(nodes_and_postings(source, "text", like, hot), "ngram-rows")
@@ -395,8 +412,7 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text: str = "te
         .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
         .distinct()
     )
-    sets = written(whole_sets(source, "text", like, postings.select("doc_id").distinct()), "ngram-sets")
-    first = written(verified(star, sets, like), "ngram-links")
+    first = written(verified(star, source, like), "ngram-links")
     merged = written(connected_components(first), "ngram-components")
     # What may still connect two components: buckets that hold more than one of them.
     placed = postings.join(merged.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -410,7 +426,7 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text: str = "te
         .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
         .distinct()
     )
-    second = verified(across, sets, like)
+    second = written(verified(across, source, like), "ngram-links")
     components = written(connected_components(first.unionByName(second)), "ngram-components")
     of_class = classes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
     return nodes.join(of_class, "set_id", "left").select(
