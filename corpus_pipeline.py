@@ -47,7 +47,7 @@ def secrets_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, and the digests of ids and decoded text."""
-    return bpe.bpe_encode(bpe.round_trip_digests(docs))
+    return bpe.bpe_encode(docs, digests=True)
 
 
 STAGES = [

@@ -34,8 +34,8 @@ from marquee.llm.words import blocks
 
 VOCABULARY = "byte_bpe_50k.json"
 # Bounds of memory only: distinct pieces remembered, and characters of new pieces per index.
-REMEMBERED_PIECES = 300_000
-INDEX_CHARS = 2_000_000
+REMEMBERED_PIECES = 150_000
+INDEX_CHARS = 1_000_000
 
 # Fixed value: the pattern of byte-level BPE, with the white space class spelt out.
 PATTERN = (
@@ -194,7 +194,7 @@ def load(vocabulary: str) -> Bpe:
     return Bpe(public_tokenizers.path(vocabulary))
 
 
-def _encoded(vocabulary: str, batches: Iterator[pa.Array], limit: int = 8_000_000) -> Iterator[tuple[Bpe, list[bytes]]]:
+def _encoded(vocabulary: str, batches: Iterator[pa.Array], limit: int = 4_000_000) -> Iterator[tuple[Bpe, list[bytes]]]:
     bpe = load(vocabulary)
     encoder = Encoder(bpe)
     for column in batches:
@@ -203,15 +203,20 @@ def _encoded(vocabulary: str, batches: Iterator[pa.Array], limit: int = 8_000_00
             yield bpe, encoder(values[begin:end])
 
 
-def bpe_encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text as an array of integers."""
-    added = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))])
+def _id_lists(encoded: list[bytes]) -> pa.Array:
+    flat = np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat))
+
+
+def bpe_encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, ids: str = "ids", digests: bool = False) -> DataFrame:
+    """``docs`` with the ids of each text as an array of integers, and with the
+    ``DIGESTS`` of the round trip if asked."""
+    added = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType())), *(DIGESTS.fields if digests else [])])
 
     def of(batches: Iterator[pa.Array]) -> Iterator[dict]:
-        for _, encoded in _encoded(vocabulary, batches):
-            flat = np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int32)
-            offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])]).astype(np.int32)
-            yield {ids: pa.ListArray.from_arrays(offsets, pa.array(flat))}
+        for bpe, encoded in _encoded(vocabulary, batches):
+            yield {ids: _id_lists(encoded)} | (_digests(bpe, encoded) if digests else {})
 
     return map_text(docs, text, added, of)
 
@@ -237,16 +242,19 @@ DIGESTS = T.StructType(
 )
 
 
+def _digests(bpe: Bpe, encoded: list[bytes]) -> dict:
+    return {
+        "n_tokens": np.array([len(e) // 4 for e in encoded], dtype=np.int64),
+        "ids_sha256": [hashlib.sha256(e).hexdigest() for e in encoded],
+        "decoded_sha256": [hashlib.sha256(bpe.decode(np.frombuffer(e, dtype="<u4")).encode()).hexdigest() for e in encoded],
+    }
+
+
 def round_trip_digests(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, keep: list[str] | None = None) -> DataFrame:
     """Token count and digests of the ids and of the text decoded from them, without shipping either."""
 
     def of(batches: Iterator[pa.Array]) -> Iterator[dict]:
         for bpe, encoded in _encoded(vocabulary, batches):
-            decoded = [bpe.decode(np.frombuffer(e, dtype="<u4")) for e in encoded]
-            yield {
-                "n_tokens": np.array([len(e) // 4 for e in encoded], dtype=np.int64),
-                "ids_sha256": [hashlib.sha256(e).hexdigest() for e in encoded],
-                "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded],
-            }
+            yield _digests(bpe, encoded)
 
     return map_text(docs, text, DIGESTS, of, keep)

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from marquee.durable import written
 from marquee.llm.bitmap import BITS, collect_bits, has, slot_of
-from marquee.llm.frames import record_batch
+from marquee.llm.frames import bounded_batches, record_batch
 from marquee.llm.words import blocks, mix, split_words
 
 SEED_WORDS = 3
@@ -194,6 +194,7 @@ def contaminated(
     """(doc_id, item_id, score, start_word, end_word): the best alignment of each
     document and item that reaches ``min_score`` of a perfect copy."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     items = written(item_words(benchmark, item_id, text).dropDuplicates(["item_id", "words"]), "items")
     placed = items.select("item_id", F.size("words").alias("m"), F.posexplode("grams").alias("item_at", "gram"))

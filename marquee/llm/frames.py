@@ -6,13 +6,28 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# Rows turned into Python objects together; a batch of Spark may have many more.
+ROWS_AT_ONCE = 1024
+
 Columns = dict[str, "np.ndarray | list | pa.Array"]
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 4 MB in this session, unless it has a setting of its own.
+
+    The usual 64 MB stand several times in an executor's and its Python workers' memory.
+    """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 def record_batch(columns: Columns, schema: T.StructType) -> pa.RecordBatch:
     target = to_arrow_schema(schema)
     arrays = []
@@ -31,12 +46,13 @@ def map_text(
 ) -> DataFrame:
     """Add the columns ``added`` that ``of`` derives from the text column.
 
-    ``of`` gets the text arrays of a partition in turn and yields, in row order,
+    ``of`` gets the texts of a partition in turn, ``ROWS_AT_ONCE`` at most at a time, and yields, in row order,
     one or more groups of columns that together have as many rows as were read so
     far, at the latest when an array is done.  ``keep`` names the columns of ``df``
     to carry along, all by default; a column of ``df`` with the name of an added
     one gives way to it.
     """
+    bounded_batches(df.sparkSession)
     names = {f.name for f in added.fields}
     carried = [c for c in (df.columns if keep is None else keep) if c not in names]
     source = df.select(*dict.fromkeys([*carried, text]))
@@ -47,9 +63,9 @@ def map_text(
 
         def texts() -> Iterator[pa.Array]:
             for batch in batches:
-                if batch.num_rows:
-                    rest.append(batch)
-                    yield batch.column(batch.schema.get_field_index(text))
+                for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    rest.append(batch.slice(at, ROWS_AT_ONCE))
+                    yield rest[-1].column(batch.schema.get_field_index(text))
 
         offset = 0
         for columns in of(texts()):
