@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.durable import written
-from marquee.llm.frames import map_text, record_batch
+from marquee.llm.bitmap import collect_bits, has, slot_of
+from marquee.llm.frames import ROWS_AT_ONCE, bounded_batches, map_text, record_batch
 from marquee.llm.words import blocks, mix, split_words
 from marquee.operators.ranking import global_rank, with_range_bucket
 
@@ -46,17 +47,34 @@ def ngram_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return buckets, np.concatenate([words.doc, words.doc[pair]])
 
 
+def _among(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``source`` (doc_id, text) with an id among ``ids``.  A bitmap of fixed size
+    drops nearly all other texts before the exact join moves any."""
+    shared = source.sparkSession.sparkContext.broadcast(collect_bits(ids, slot_of(F.col("doc_id"))))
+    schema = source.schema
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = has(shared.value, batch.column(2).fill_null(0).to_numpy()) & np.array(batch.column(0).is_valid())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(hit)), batch.column(1).filter(pa.array(hit))], names=schema.names)
+
+    found = source.select("*", slot_of(F.col("doc_id")).alias("slot")).mapInArrow(passed, schema)
+    return found.join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 def ngram_counts(docs: DataFrame) -> np.ndarray:
     """(text, is_target) to counts of each bucket in the target texts and in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, raw = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            texts, marks = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=bool)
-            for begin, end in blocks(texts):
-                buckets, owner = ngram_buckets(texts[begin:end])
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                target += np.bincount(buckets[marks[begin:end][owner]], minlength=BUCKETS)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = batch.slice(at, ROWS_AT_ONCE)
+                texts, marks = rows.column(0).to_pylist(), np.array(rows.column(1).to_pylist(), dtype=bool)
+                for begin, end in blocks(texts):
+                    buckets, owner = ngram_buckets(texts[begin:end])
+                    raw += np.bincount(buckets, minlength=BUCKETS)
+                    target += np.bincount(buckets[marks[begin:end][owner]], minlength=BUCKETS)
         found = np.flatnonzero(raw)
         yield record_batch({"bucket": found.astype(np.int32), "target": target[found], "raw": raw[found]}, _COUNTS)
 
@@ -98,11 +116,11 @@ def importance(docs: DataFrame, ratios: np.ndarray, text: str = "text") -> DataF
 def resample(docs: DataFrame, target_ids: DataFrame, share: float, doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
     """One row per row of ``docs``: id, ``log_importance``, ``key`` and ``kept``, true for
     the ``round(share * rows)`` largest keys.  ``target_ids`` has the ids of the target texts."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     targets = target_ids.select(F.col(doc_id).cast("bigint").alias("doc_id")).filter("doc_id is not null").distinct()
-    # A count over all texts, and one over the target texts: both read the texts, neither moves them far.
     whole = source.select("text", F.lit(False).alias("is_target"))
-    aimed = source.join(targets, "doc_id", "left_semi").select("text", F.lit(True).alias("is_target"))
+    aimed = _among(source, targets).select("text", F.lit(True).alias("is_target"))
     raw, target = ngram_counts(whole)[1], ngram_counts(aimed)[0]
     scored = importance(source, log_ratios(np.stack([target, raw])))
     keyed = written(scored.select("doc_id", "log_importance", (F.col("log_importance") + gumbel(F.col("doc_id"), seed)).alias("key")), "resampled")
