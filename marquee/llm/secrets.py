@@ -121,9 +121,9 @@ def scan_history(
     rows = scan_blobs(unseen, rules).select("blob", F.lit(rule_version).alias("rule_version"), "spans")
     new = written(rows, "ledger")
     grown = new if ledger is None else ledger.select(*new.columns).unionByName(new)
-    current = grown.filter(F.col("rule_version") == rule_version).select(F.col("blob").alias("_blob"), "spans")
+    current = grown.filter(F.col("rule_version") == rule_version).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
     kept = [c for c in versions.columns if c not in ("blob", "spans")]
-    findings = addressed.join(current, "_blob", "left").select(*kept, F.col("_blob").alias("blob"), "spans")
+    findings = addressed.join(current, "_blob", "left").select(*kept, F.col("_blob").alias("blob"), F.col("_spans").alias("spans"))
     return findings, grown
 
 
