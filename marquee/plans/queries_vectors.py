@@ -295,7 +295,7 @@ def q_item2vec(spark: SparkSession, sf: str) -> DataFrame:
 def q_graph_embedding(spark: SparkSession, sf: str) -> DataFrame:
     pairs = written(pair_counts(spark, sf), "pair-counts")
     trained = written(_finite(EM.train_graph_embedding(pairs)), "embedding")
-    nodes = pairs.select(F.explode(F.array("src", "dst")).cast("string").alias("id")).distinct()
+    nodes = pairs.select(F.explode(F.array("src", "dst")).alias("n")).select(F.col("n").cast("string").alias("id")).distinct()
     strange = trained.join(nodes, "id", "left_anti").agg(F.count(F.lit(1))).scalar()
     broken = trained.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("finite").alias("finite")).filter("n <> 10 or not finite")
     return trained.agg((F.count(F.lit(1)) > 0).alias("any")).select(strange.alias("strangers"), broken.agg(F.count(F.lit(1))).scalar().alias("broken"), "any")
