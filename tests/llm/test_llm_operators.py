@@ -340,7 +340,7 @@ def test_forgetting_pieces_changes_nothing(tokenizer, monkeypatch):
 def test_language_model(spark):
     rng = random.Random(6)
     languages = [[f"{p}{i}" for i in range(12)] for p in ("an", "zu", "qué")]
-    rows = [(i, " ".join(rng.choice(languages[i % 3]) for _ in range(rng.randint(20, 60))).capitalize()) for i in range(240)] + AWKWARD
+    rows = [(1000 + i, " ".join(rng.choice(languages[i % 3]) for _ in range(rng.randint(20, 60))).capitalize()) for i in range(240)] + AWKWARD
     docs = documents(spark, rows)
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     got = attention_lm.lm_scores(cluttered(docs), held).collect()
@@ -361,6 +361,7 @@ def test_language_model(spark):
     by_id = {}
     for r in got:
         by_id.setdefault(r["doc_id"], []).append(r["score"])
+    assert len(by_id[6]) == 2
     assert by_id[6][0] == pytest.approx(by_id[6][1], rel=1e-5)
     assert by_id[1] == pytest.approx(by_id[2], rel=1e-5) and by_id[1] == pytest.approx(by_id[3], rel=1e-5)
     prose_rows = [r for r in got if r["doc_id"] is not None and r["held_out"] and r["n_tokens"] > 20]
