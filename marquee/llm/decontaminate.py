@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of a benchmark item may seed; an item uses those that are rare in the
-corpus: in at most ``RARE_DOCS`` documents or one in ``RARE_SHARE``, and in any
-case the rarer half of its own n-grams, so that an item that has leaked
-everywhere keeps its seeds.  A seed joins the passage around it to the item, and
-the local alignment of their words (case and punctuation don't count) scores exact,
-edited and paraphrased copies alike: its score over that of the whole item.
+Every n-gram of a benchmark item seeds, however many documents hold it: each document
+that shares one with an item is aligned with that item around every place of it.  A
+seed joins the passage around it to the item, and the local alignment of their words
+(case and punctuation don't count) scores exact, edited and paraphrased copies alike:
+its score over that of the whole item.
 
 The corpus is filtered against a bitmap of the items' n-grams of fixed size before
 anything is shuffled; a false hit ends in the exact join that follows.
@@ -31,8 +30,6 @@ from marquee.llm.frames import bounded_batches, record_batch
 from marquee.llm.words import blocks, mix, split_words
 
 SEED_WORDS = 3
-RARE_DOCS = 50
-RARE_SHARE = 1000
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BATCH_CELLS = 4_000_000
@@ -199,17 +196,11 @@ def contaminated(
     items = written(item_words(benchmark, item_id, text).dropDuplicates(["item_id", "words"]), "items")
     placed = items.select("item_id", F.size("words").alias("m"), F.posexplode("grams").alias("item_at", "gram"))
     widths = sorted({SEED_WORDS} | {r["m"] for r in placed.filter(F.col("m") < SEED_WORDS).select("m").distinct().collect()})
-    hits = written(seed_hits(source, placed.select("gram"), widths).join(placed.select("gram").distinct(), "gram", "left_semi"), "seed-hits")
-    df = hits.groupBy("gram", "doc_id").count().groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    counted = placed.join(df, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    middle = counted.groupBy("item_id").agg(F.percentile_approx("df", 0.5, 10_000).alias("middle"))
-    documents = source.agg(F.count(F.lit(1)).alias("n"))
-    rare = F.greatest(F.lit(RARE_DOCS), F.col("middle"), F.col("n") / RARE_SHARE)
-    seeds = counted.join(middle, "item_id").join(F.broadcast(documents)).filter(F.col("df") <= rare).select("gram", "item_id", "item_at", "m")
+    hits = seed_hits(source, placed.select("gram"), widths)
     # A window of three item lengths around each stretch that a seed points to.
     start = F.col("at") - F.col("item_at")
     windows = written(
-        hits.join(seeds, "gram")
+        hits.join(placed, "gram")
         .select("doc_id", "item_id", F.floor(start / F.greatest("m", F.lit(8))).cast("int").alias("slot"), F.greatest("m", F.lit(8)).alias("m"))
         .distinct(),
         "seed-windows",

@@ -241,6 +241,20 @@ def test_contaminated_everywhere(spark):
     assert all(r["start_word"] == 20 and r["end_word"] == 50 for r in got)
 
 
+def test_contaminated_by_a_repeated_edited_copy(spark):
+    """Every fourth word edited, one copy in many documents: the n-grams that survive are
+    frequent, the others occur nowhere or (as decoys) in one document each."""
+    rng = random.Random(8)
+    words = [f"item{i}" for i in range(38)]
+    copy = [f"edit{i}" if i % 4 == 3 else w for i, w in enumerate(words)]
+    rows = [(i, prose(rng, 20) + " " + " ".join(copy) + " " + prose(rng, 20)) for i in range(120)]
+    rows += [(500 + i, prose(rng, 20) + " " + " ".join(words[i : i + 3]) + " " + prose(rng, 20)) for i in range(36)]
+    got = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")).collect()
+    want = smith_waterman(words, copy) / (decontaminate.MATCH * len(words))
+    assert want > decontaminate.MIN_SCORE
+    assert {r["doc_id"] for r in got} == set(range(120)) and {r["score"] for r in got} == {want}
+
+
 def test_contaminated_of_nothing(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.contaminated(documents(spark, AWKWARD), none).collect() == []
