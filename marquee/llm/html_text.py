@@ -5,7 +5,8 @@ characters per tag is its density, a node's sum is that of its children, and the
 subtree with the largest sum is the main text.  The threshold is the least density
 on the path from that subtree to the body; while a subtree beside the path reaches
 it, the selection climbs, so that a heading next to the densest part stays in.
-Inside an ``article`` (or ``main``) the selection is that element.
+Inside an ``article`` (or ``main``) the selection is that element, and climbs only for
+articles beside it; one elsewhere in the page takes no part in the choice.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are recognised by element, role, class or id and take no part.
@@ -272,19 +273,15 @@ class Page:
         if sums[best] <= 0:
             return 0
         path = self._path(best)
-        for frame in ("article", "main"):
-            framed = [i for i in path if self.nodes[i].tag == frame]
-            if framed:
-                return framed[-1]
-        articles = [i for i, n in enumerate(self.nodes) if n.tag in ("article", "main") and n.chars]
-        if articles:
-            return max(articles, key=lambda i: (sums[i] + density[i], -i))
         threshold = min(density[i] for i in path)
-        chosen = best
-        for up in path[1:]:
-            if self.nodes[up].tag in ("body", "html", "#root") and self.nodes[chosen].tag != "p":
+        frames = [i for tag in ("article", "main") for i in reversed(path) if self.nodes[i].tag == tag]
+        at = path.index(frames[0]) if frames else 0
+        chosen = path[at]
+        for below, up in zip(path[at:], path[at + 1 :]):
+            if not frames and self.nodes[up].tag in ("body", "html", "#root") and self.nodes[chosen].tag != "p":
                 break
-            if any(c != chosen and self.nodes[c].chars and density[c] >= threshold for c in self.nodes[up].children):
+            beside = [c for c in self.nodes[up].children if c != below and self.nodes[c].chars and density[c] >= threshold]
+            if any(not frames or self.nodes[c].tag in ("article", "main") for c in beside):
                 chosen = up
         return chosen
 

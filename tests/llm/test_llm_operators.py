@@ -618,3 +618,20 @@ def test_long_page_stays_whole():
     body = "".join(f"<p>paragraph {i} &lt;</p>" for i in range(5000))
     text = html_text.main_text(f"<body><nav><a>x</a></nav><div><div>{body}</div></div></body>")
     assert text == "\n\n".join(f"paragraph {i} <" for i in range(5000))
+
+
+def words_of(rng, n):
+    return " ".join(f"word{rng.randrange(900)}" for _ in range(n))
+
+
+def test_density_chooses_beside_an_article():
+    """A teaser in an article doesn't replace text in plain elements, and articles side by side stay together."""
+    rng = random.Random(11)
+    long = [words_of(rng, 60) for _ in range(6)]
+    divs = "".join(f"<p>{t} <a href=x>link</a></p>" for t in long)
+    teaser = "<article><h3>Read too</h3><a href=y>teaser of a page</a></article>"
+    got = html_text.main_text(f"<body><div class=content>{divs}</div><div>{teaser}</div></body>")
+    assert all(t in got for t in long) and "teaser" not in got
+    articles = "".join(f"<article><p>{t} <a href=x>link</a></p><p>{t}</p></article>" for t in long)
+    got = html_text.main_text(f"<body><div>{articles}</div><div><ul><li><a href=z>elsewhere</a></li></ul></div></body>")
+    assert all(got.count(t) == 2 for t in long) and "elsewhere" not in got
