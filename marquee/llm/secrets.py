@@ -45,6 +45,20 @@ def either_case(words: str) -> str:
     return re.sub(r"[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", words)
 
 
+def _private_key() -> str:
+    """A private key from its BEGIN line: lines of information, then base64 and white space
+    (or escaped line ends, quotes, commas) through the END line; without one, the base64 that follows,
+    to the last run of 20 characters or more and one shorter line after it.
+
+    Only character classes repeat without bound, so that long texts need no deep stack.
+    """
+    kind, white, code = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----", r"\x20\x09-\x0D\\", "A-Za-z0-9+/="
+    information = r"(?:[\r\nrn\\]+[A-Z][A-Za-z-]*: [^\r\n\\]*){0,9}"
+    ended = rf"[{code}{white}\"',]*-----END {kind}"
+    open_ended = rf"[{white}]+[{code}]{{20,}}(?:[{code}{white}]*[{code}]{{20,}})?(?:\r?\n(?:[{code}]{{1,62}}=|[{code}]{{1,63}}(?m:$)))?"
+    return rf"-----BEGIN {kind}(?:{information}(?:{ended}|{open_ended}))?"
+
+
 _NAMES = either_case("(password|passwd|secret|token|api_?key)")
 
 # The base rules of the query's contract.
@@ -55,7 +69,7 @@ BASE_RULES = [
 ]
 RULES = [
     *BASE_RULES,
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", _private_key()),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),

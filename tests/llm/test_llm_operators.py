@@ -526,6 +526,32 @@ def test_redaction(spark):
     assert secrets.scan_history(documents(spark, []))[0].collect() == []
 
 
+def test_redaction_of_whole_keys(spark):
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("ABCDEFGHabcdefgh0123+/") for _ in range(64)) for _ in range(25)] + ["Zm9vYmFy="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    block = "\n".join(lines)
+    keys = [
+        f"{begin}\n{block}\n{end}",
+        f"{begin}\r\n" + "\r\n".join(lines) + f"\r\n{end}",
+        f"{begin}\\n" + "\\n".join(lines) + f"\\n{end}",
+        f'{begin}\\n" +\n  "' + '\\n" +\n  "'.join(lines) + f'\\n" +\n  "{end}',
+        f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,3F17F5316E2BAC89\n\n{block}\n{end}",
+        f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{block}\n=ab12\n-----END PGP PRIVATE KEY BLOCK-----",
+        f"{begin}\n{block}",
+        f"{begin} {' '.join(lines[:-1])}",
+        f"{begin}\n" + "\n".join(lines[:25] * 2000),
+        begin,
+    ]
+    rows = [(i, f"before it, {k}\nAnd after, {k}, the end.") for i, k in enumerate(keys)]
+    findings, _ = secrets.scan_history(documents(spark, rows))
+    shown = secrets.redact(F.col("text"), F.filter("spans", lambda s: s["kind"] == "pem"))
+    got = {r["doc_id"]: r["t"] for r in findings.select("doc_id", shown.alias("t")).collect()}
+    assert got == {i: "before it, [secret]\nAnd after, [secret], the end." for i in range(len(keys))}
+    found = {r["doc_id"]: r["s"] for r in findings.select("doc_id", secrets.spans_text(F.col("spans")).alias("s")).collect()}
+    assert found == {i: brute_spans(t) for i, t in rows}
+
+
 # ---- op9
 
 
