@@ -429,6 +429,23 @@ def test_windows_see_no_later_id():
     assert np.allclose(before[90:], alone, atol=1e-5)
 
 
+def test_training_windows_cover_whole_texts(spark):
+    rows = [(1, " ".join(f"token{i}" for i in range(700))), (2, "short"), (3, ""), (4, "held out " * 50)]
+    chunks = attention_lm.word_chunks(documents(spark, rows).withColumn("held", F.col("doc_id") == 4)).collect()
+    want, got = [], []
+    for row in (c.asDict() for c in chunks):
+        chunk = attention_lm.Chunk.of(row)
+        ids, _, starts = attention_lm.sequences(row, chunk)
+        want += [t.tolist() for t, held in zip(np.split(ids, starts[1:]), chunk.held, strict=True) if not held]
+        for window in attention_lm.training_windows(row, chunk):
+            fresh = window[0] == 2 * attention_lm.END
+            got += [[]] if fresh else []
+            assert fresh or window[0] >> 1 == got[-1][-1]
+            got[-1] += (window[1:] >> 1).tolist()
+    assert len(got) == len(want) == 3 and max(map(len, want)) > 20 * attention_lm.WINDOW
+    assert all(g[: len(w)] == w and set(g[len(w) :]) <= {attention_lm.END} for g, w in zip(got, want, strict=True))
+
+
 # ---- op7
 
 
