@@ -9,7 +9,8 @@ Inside an ``article`` (or ``main``) the selection is that element, and climbs on
 articles beside it; one elsewhere in the page takes no part in the choice.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are recognised by element, role, class or id and take no part.
+reader comments are recognised by element, role, or a whole word of the class or id
+and take no part; one so named by class or id stays if it holds the densest subtree.
 
 Defined results: NULL, empty and text-free pages give the empty text; a page
 without tags is its own text; equal pages give equal texts.  Text is kept whole.
@@ -48,7 +49,7 @@ BLOCK = frozenset(
 CLOSES_PARAGRAPH = BLOCK - {"body", "html", "option", "optgroup", "tbody", "td", "tfoot", "th", "thead", "tr", "legend"} | {"hr"}
 LEFT_OUT = frozenset(
     "nav footer aside form script style noscript iframe svg canvas template button select textarea object embed head dialog "
-    "menu title noembed noframes audio video map math search".split()
+    "menu title noembed noframes audio video map search".split()
 )
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 LEFT_OUT_NAMES = frozenset(
@@ -83,27 +84,29 @@ class Node:
     links: int = 0
     link_chars: int = 0
     children: list[int] = field(default_factory=list)
+    named: bool = False
+    gone: bool = False
 
 
-def _left_out(tag: str, attrs: str, in_article: bool) -> bool:
+def _left_out(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element takes no part in any case, and whether its class or id names it so."""
     if tag in LEFT_OUT or (tag in LEFT_OUT_OUTSIDE_ARTICLE and not in_article):
-        return True
+        return True, False
     if not attrs or tag in ("html", "body") or attrs.isspace():
-        return False
+        return False, False
     found: dict[str, str] = {}
     for name, a, b, c in _ATTRIBUTE.findall(attrs):
         found.setdefault(name.lower(), html.unescape(a or b or c))
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if found.get("role", "").lower() in LEFT_OUT_ROLES:
-        return True
+        return True, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
-    named = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()
-    words = set(re.findall(r"[a-z]+", named))
+        return True, False
+    names = set(f"{found.get('class', '')} {found.get('id', '')}".lower().split())
     if tag in ("article", "main"):
-        return bool(words & _COMMENT_NAMES)
-    return bool(words & LEFT_OUT_NAMES) or ("header" in words and not in_article and tag not in ("h1", "h2", "h3"))
+        return False, bool(names & _COMMENT_NAMES)
+    return False, bool(names & LEFT_OUT_NAMES) or ("header" in names and not in_article and tag not in ("h1", "h2", "h3"))
 
 
 class Page:
@@ -235,13 +238,15 @@ class Page:
             self._open(tag)
             if tag in ("html", "body") and self._is_open(tag):
                 continue
-            if _left_out(tag, match["attrs"], self.nodes[self.stack[-1]].in_article):
+            out, named = _left_out(tag, match["attrs"], self.nodes[self.stack[-1]].in_article)
+            if out:
                 if not match["attrs"].endswith("/"):
                     if tag in BLOCK:
                         self.events.append(None)
                     skip_tag, skip_depth = tag, 1
                 continue
             self._push(tag)
+            self.nodes[-1].named = named
 
     def _is_open(self, tag: str) -> bool:
         return any(self.nodes[i].tag == tag for i in self.stack)
@@ -266,10 +271,36 @@ class Page:
             path.append(self.nodes[path[-1]].parent)
         return path
 
-    def main_node(self) -> int:
+    def _densest(self) -> tuple[int, list[float], list[float]]:
         density = self.densities()
         sums = [sum(density[c] for c in n.children) for n in self.nodes]
-        best = max(range(len(self.nodes)), key=lambda i: (sums[i], density[i], -i))
+        best = max((i for i, n in enumerate(self.nodes) if not n.gone), key=lambda i: (sums[i], density[i], -i))
+        return best, density, sums
+
+    def _drop_named(self) -> None:
+        """Take out what its class or id names as no main text, but for what holds the densest subtree."""
+        best, _, sums = self._densest()
+        kept = set(self._path(best)) if sums[best] > 0 else set()
+        for i, n in enumerate(self.nodes):
+            if n.parent >= 0 and self.nodes[n.parent].gone:
+                n.gone = True
+            elif n.named and i not in kept:
+                n.gone = True
+                self.nodes[n.parent].children.remove(i)
+                up = n.parent
+                while up >= 0:
+                    above = self.nodes[up]
+                    above.chars -= n.chars
+                    above.link_chars -= n.link_chars
+                    above.tags -= n.tags + 1
+                    above.links -= n.links + (n.tag == "a")
+                    up = above.parent
+                self.events[n.begin : n.end] = [""] * (n.end - n.begin)
+
+    def main_node(self) -> int:
+        if any(n.named for n in self.nodes):
+            self._drop_named()
+        best, density, sums = self._densest()
         if sums[best] <= 0:
             return 0
         path = self._path(best)

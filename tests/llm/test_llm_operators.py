@@ -678,3 +678,17 @@ def test_density_chooses_beside_an_article():
     articles = "".join(f"<article><p>{t} <a href=x>link</a></p><p>{t}</p></article>" for t in long)
     got = html_text.main_text(f"<body><div>{articles}</div><div><ul><li><a href=z>elsewhere</a></li></ul></div></body>")
     assert all(got.count(t) == 2 for t in long) and "elsewhere" not in got
+
+
+@pytest.mark.parametrize("attrs", ["class='has-sidebar'", "id='page-with-footer'", "class='body share-enabled'", "class='widget wide'", "id=overlay"])
+def test_names_do_not_drop_the_main_text(attrs):
+    rng = random.Random(13)
+    long = [words_of(rng, 40) for _ in range(5)]
+    inner = "".join(f"<p>{t} <a href=x>link</a></p>" for t in long) + "<p>so <math><mi>x</mi><mo>=</mo><mn>7</mn></math></p>"
+    got = html_text.main_text(f"<body><div {attrs}><div>{inner}</div><div class='ad'>buy this</div></div><footer>f</footer></body>")
+    assert all(t in got for t in long) and "so x=7" in got and "buy" not in got
+
+
+def test_hyphenated_names_stay_inside_an_article():
+    got = html_text.main_text("<article><p>first <a href=x>l</a></p><section class='related-work'><p>others did so</p></section><div class=related>no</div></article>")
+    assert got == "first l\n\nothers did so"
