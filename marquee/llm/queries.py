@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import attention_lm, bpe, decontaminate, html_text, ngram_join, repetition, resampling, secrets, toxicity, url_filters
+from marquee.llm import attention_lm, bpe, decontaminate, html_text, ngram_join, ranked_search, repetition, resampling, secrets, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -204,3 +204,32 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract_main_text(pages, keep=["page_id", "url"])
+
+
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    f"""
+    WITH tf AS (
+        SELECT r, doc_id, term, count(*) AS tf FROM
+        (SELECT r, doc_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents)) GROUP BY ALL),
+    n AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+    c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY term, docs),
+    q AS (
+        SELECT q, item_id, term, count(*) AS times FROM
+        (SELECT q, item_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark)) GROUP BY ALL),
+    scored AS (
+        SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+        FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n USING (r), c GROUP BY q, item_id, r, doc_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("item_id", "rank", "doc_id", "score")

@@ -77,10 +77,11 @@ class Words:
         return self.raw[self.starts[i] : self.ends[i]].tobytes()
 
 
-def split_words(texts: Sequence[str | None], bare: bool = False) -> Words:
+def split_words(texts: Sequence[str | None], bare: bool = False, fold: bool = True) -> Words:
     """Words of the texts.  ``bare`` words are in lower case and end at any ASCII
-    character that is no letter or digit, so that case and punctuation don't count."""
-    plain = [(t.lower() if bare else t) if t else "" for t in texts]
+    character that is no letter or digit, so that case and punctuation don't count;
+    without ``fold`` they keep their case."""
+    plain = [(t.lower() if bare and fold else t) if t else "" for t in texts]
     parts = [t.encode("utf-8", "surrogatepass") for t in plain]
     raw = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
     lengths = np.array([len(p) + 1 for p in parts], dtype=np.int64)
