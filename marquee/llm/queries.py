@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import attention_lm, bpe, decontaminate, html_text, ngram_join, ranked_search, repetition, resampling, secrets, toxicity, url_filters
+from marquee.llm import attention_lm, bpe, conversation_repair, decontaminate, html_text, ngram_join, ranked_search, repetition, resampling, secrets, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -233,3 +233,17 @@ _TERMS = (
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return ranked.select("item_id", "rank", "doc_id", "score")
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    broken = conversation_repair.damaged(turns)
+    repair = conversation_repair.repair_conversations(broken)
+    found = turns.select("conv_id").distinct()
+    for part in (conversation_repair.turn_gaps(broken), repair.summary, repair.digests()):
+        other = part.withColumnRenamed("conv_id", "_conv_id")
+        found = found.join(other, F.col("conv_id").eqNullSafe(F.col("_conv_id")), "left").drop("_conv_id")
+    counts = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", nothing).alias("repaired_sha256"))
