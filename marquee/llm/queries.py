@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import attention_lm, bpe, conversation_repair, decontaminate, html_text, ngram_join, ranked_search, repetition, resampling, secrets, toxicity, url_filters
+from marquee.llm import attention_lm, bpe, conversation_repair, decontaminate, html_text, ngram_join, ranked_search, relative_parsing, repetition, resampling, secrets, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -235,6 +235,24 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("item_id", "rank", "doc_id", "score")
 
 
+@query(
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+    windows AS (SELECT r, doc_id, i, list_slice(w, i, i + 12) AS words FROM d, range(1, len(w) - 11) t(i)),
+    firsts AS (SELECT words, min(doc_id) AS least FROM windows GROUP BY words),
+    gone AS (SELECT DISTINCT r, i + k AS at FROM windows JOIN firsts USING (words), range(0, 13) t(k) WHERE least < doc_id),
+    removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r),
+    placed AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM d),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY at) AS text FROM placed ANTI JOIN gone USING (r, at) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+    """
+)
+def op11_relative_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = relative_parsing.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query()
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
