@@ -240,10 +240,10 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
     windows AS (SELECT r, doc_id, i, list_slice(w, i, i + 12) AS words FROM d, range(1, len(w) - 11) t(i)),
     firsts AS (SELECT words, min(doc_id) AS least FROM windows GROUP BY words),
-    gone AS (SELECT DISTINCT r, i + k AS at FROM windows JOIN firsts USING (words), range(0, 13) t(k) WHERE least < doc_id),
+    gone AS (SELECT DISTINCT r, i + k AS pos FROM windows JOIN firsts USING (words), range(0, 13) t(k) WHERE least < doc_id),
     removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r),
-    placed AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM d),
-    kept AS (SELECT r, string_agg(word, ' ' ORDER BY at) AS text FROM placed ANTI JOIN gone USING (r, at) GROUP BY r)
+    placed AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY pos) AS text FROM placed ANTI JOIN gone USING (r, pos) GROUP BY r)
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
     FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
     """
