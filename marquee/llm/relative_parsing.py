@@ -49,8 +49,8 @@ from marquee.llm.words import blocks, mix, split_words
 LEAST = 13
 GRAM = 4
 # An anchor with so many distinct segments, or more than this share of all, is dealt by whole windows.
-HOT_SEGMENTS = 20_000
-HOT_SHARE = 1 / 10_000
+HOT_SEGMENTS = 1_000
+HOT_SHARE = 1 / 100_000
 # Distinct segments of an anchor in one flush from which on it is counted at all.
 HOT_IN_FLUSH = 32
 # Segments a task holds before it settles them; words of a reference block (an anchor stays whole).
