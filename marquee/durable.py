@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def durable_dir(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``.
+    """Folder the cluster names in ``spark.checkpoint.dir``, or else the context's own.
 
-    A machine-local temporary folder is used only when the setting is missing
-    and Spark itself runs in local mode.
+    There is no fallback: a folder that only one machine sees would lose data with it.
+    ``local_session`` names one when it builds a session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         named = spark.sparkContext.getCheckpointDir()
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="marquee-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
     return named
 
 

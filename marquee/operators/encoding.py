@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
+    Bucketizer,
     CountVectorizerModel,
     FeatureHasher,
     MinMaxScaler,
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions.encoders import bucketize_by_array
 from marquee.functions.text import split_genres
+from marquee.operators.feature_layout import indicator  # noqa: F401  (M13)
+from marquee.operators.quantiles import exact_quantiles
 from marquee.skew import skew_join
 
 
@@ -75,15 +78,6 @@ def multi_hot(movies: DataFrame, key: str = "movieId", genres: str = "genres", o
     return encoder.transform(listed).drop("_genres")
 
 
-def indicator(df: DataFrame, index: str, n: int, out: str) -> DataFrame:
-    """Sparse one-hot of fixed width n; an index outside [0, n) gives the zero
-    vector (M13)."""
-    encoder = CountVectorizerModel.from_vocabulary([str(i) for i in range(n)], inputCol="_slot", outputCol=out)
-    encoder.setBinary(True)
-    slotted = df.withColumn("_slot", F.array(F.coalesce(F.col(index).cast("string"), F.lit("-1"))))
-    return encoder.transform(slotted).drop("_slot")
-
-
 def to_dense(df: DataFrame, col: str, out: str) -> DataFrame:
     """Scalar to a vector of length one (M4)."""
     return VectorAssembler(inputCols=[col], outputCol=out, handleInvalid="keep").transform(df)
@@ -98,20 +92,15 @@ def quantile_bucket(df: DataFrame, col: str, out: str, n: int = 100, error: floa
     return quantile_discretizer(col, out, n, error).fit(df).transform(df)
 
 
-def quantile_bucket_exact(df: DataFrame, col: str, out: str, n: int = 100) -> DataFrame:
-    """Exact split points; equal values share a bucket.
+def quantile_splits(df: DataFrame, col: str, n: int = 100) -> list[float]:
+    """Distinct exact split points of n buckets of equal frequency."""
+    return sorted(set(exact_quantiles(df, col, [i / n for i in range(1, n)])))
 
-    Values are counted first, so the quantiles are taken over distinct values
-    with frequencies.  For counts of N rows those are fewer than sqrt(2 N).
-    """
-    values = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_f"))
-    fractions = F.array(*[F.lit(i / n) for i in range(1, n)])
-    splits = values.agg(F.array_distinct(F.percentile("_v", fractions, F.col("_f"))).alias("splits"))
-    return (
-        df.withColumn("_splits", splits.scalar())
-        .withColumn(out, F.when(F.col(col).isNotNull(), bucketize_by_array(F.col(col), F.col("_splits"))))
-        .drop("_splits")
-    )
+
+def quantile_bucket_exact(df: DataFrame, col: str, out: str, n: int = 100) -> DataFrame:
+    """Exact split points; equal values share a bucket."""
+    splits = F.array(*[F.lit(s) for s in quantile_splits(df, col, n)]).cast("array<double>")
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), bucketize_by_array(F.col(col), splits)))
 
 
 def min_max(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -132,13 +121,15 @@ def feature_stages(stages: Sequence, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
 
 
-def rating_feature_stages(stats: DataFrame, buckets: int = 100) -> DataFrame:
-    """Rating count to quantile buckets and average rating to [0, 1] (M4-M7)."""
-    stages = [
-        VectorAssembler(inputCols=["avgRating"], outputCol="avgRatingVec"),
-        quantile_discretizer("ratingCount", "ratingCountBucket", buckets),
-        min_max_scaler("avgRatingVec", "scaleAvgRating"),
-    ]
+def rating_feature_stages(stats: DataFrame, buckets: int = 100, exact: bool = False) -> DataFrame:
+    """Rating count to quantile buckets and average rating to [0, 1] (M4-M7).
+
+    Split points are the discretizer's approximate ones, or exact ones."""
+    cutter = quantile_discretizer("ratingCount", "ratingCountBucket", buckets)
+    if exact:
+        splits = [float("-inf"), *quantile_splits(stats, "ratingCount", buckets), float("inf")]
+        cutter = Bucketizer(splits=splits, inputCol="ratingCount", outputCol="ratingCountBucket")
+    stages = [VectorAssembler(inputCols=["avgRating"], outputCol="avgRatingVec"), cutter, min_max_scaler("avgRatingVec", "scaleAvgRating")]
     return feature_stages(stages, stats).transform(stats)
 
 

@@ -13,11 +13,13 @@ from marquee.functions import numeric as N
 from marquee.functions import text as T
 from marquee.operators import aggregates as A
 from marquee.operators import encoding as M
+from marquee.operators import feature_layout as FL
 from marquee.operators import histories as H
 from marquee.operators.metrics import check_labels
 from marquee.operators.samples import with_int_id
 from marquee.plans.queries_samples import GENRE_INDEX_CTE, KEY, SQL_KEY, _YEAR
 from marquee.plans.registry import query, sql
+from marquee.sources import layouts as LA
 from marquee.sources.adapters import VECTOR_DIM, item_vectors, movies, ratings, tag_samples
 
 # -------------------------------------------------------------- text
@@ -208,7 +210,8 @@ def q_interaction(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------- encoders
 
 def sql_md5(text: str) -> str:
-    return f"concat('0x', substr(md5({text}), 1, 15))::BIGINT"
+    """Bucket number of a text; NULL, which ``concat`` would skip, stays NULL."""
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
 
 
 def sql_md5_tuple(*parts: str) -> str:
@@ -396,19 +399,22 @@ def q_min_max(spark: SparkSession, sf: str) -> DataFrame:
     "rating_feature_stages",
     sql(
         "ratings",
-        """SELECT "movieId", "ratingCount", round("avgRating", 6) AS vec, round(("avgRating" - lo) / (hi - lo), 6) AS scaled
+        f"""SELECT "movieId", "ratingCount", round("avgRating", 6) AS vec, round(("avgRating" - lo) / (hi - lo), 6) AS scaled,
+                   len(list_filter((SELECT list_distinct(quantile_cont("ratingCount"::DOUBLE, [{', '.join(str(i / 100) for i in range(1, 100))}])) FROM stats),
+                   lambda b: b <= "ratingCount"))::INTEGER AS bucket
            FROM stats, (SELECT min("avgRating") AS lo, max("avgRating") AS hi FROM stats)""",
         STATS_SQL,
     ),
 )
 def q_stages(spark: SparkSession, sf: str) -> DataFrame:
     stats = A.movie_rating_stats(ratings(spark, sf)).select("movieId", "ratingCount", "avgRating")
-    out = M.rating_feature_stages(stats)
+    out = M.rating_feature_stages(stats, exact=True)
     return out.select(
         "movieId",
         "ratingCount",
         F.round(vector_to_array("avgRatingVec")[0], 6).alias("vec"),
         F.round(vector_to_array("scaleAvgRating")[0], 6).alias("scaled"),
+        F.col("ratingCountBucket").cast("int").alias("bucket"),
     )
 
 
@@ -428,14 +434,85 @@ def q_label_map(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "assemble",
-    sql("ratings", f"SELECT {SQL_KEY}, 3 AS size, round(rating + l_linenumber + \"timestamp\" / 86400, 6) AS total FROM ratings"),
+    sql(
+        "ratings",
+        f"""SELECT {SQL_KEY}, unnest([0, 1, 2])::INTEGER AS position,
+                   round(unnest([rating, l_linenumber::DOUBLE, "timestamp" / 86400]), 6) AS value FROM ratings""",
+    ),
 )
 def q_assemble(spark: SparkSession, sf: str) -> DataFrame:
     days = ratings(spark, sf).withColumn("days", F.col("timestamp") / 86400)
-    v = vector_to_array("features")
-    return M.assemble(days, ["rating", "l_linenumber", "days"]).select(
-        *KEY, F.size(v).alias("size"), F.round(N.vec_sum(v), 6).alias("total")
-    )
+    parts = M.assemble(days, ["rating", "l_linenumber", "days"]).select(*KEY, F.posexplode(vector_to_array("features")).alias("position", "value"))
+    return parts.withColumn("value", F.round("value", 6))
+
+
+# Sample files filled from the tag events: the same expression in both engines.
+def _cell(name: str, kind: object, number: int) -> str:
+    mixed = f"((tagid * {2 * number + 3} + userid * {number + 1} + {number}) % {7 + 3 * number})"
+    if isinstance(kind, str):
+        # An empty text now and then, and small numbers as texts.
+        return f"CASE WHEN {mixed} = 5 THEN NULL ELSE CAST({mixed} % {4 + number} AS STRING) END AS {name}"
+    if isinstance(kind, float):
+        return f"CASE WHEN {mixed} = 3 THEN NULL ELSE round(score * {mixed} / 50, 4) END AS {name}"
+    return f"CAST({mixed} % 2 AS INT) AS {name}"
+
+
+_TAG_CELLS = [_cell(n, d, i) for i, (n, d) in enumerate(LA.TAG_SAMPLES.items()) if n != "label"]
+_LISTING_CELLS = [_cell(n, d, i) for i, (n, d) in enumerate(LA.LISTING_SAMPLES.items()) if n != "label"]
+_BEHAVIOUR_CELLS = [
+    "CAST(tagid * 1601 AS BIGINT) AS entityid",
+    "CAST((tagid * 4999 + userid * 77) % 410000 AS BIGINT) AS cate2",
+    "CAST(userid % 40000 AS BIGINT) AS usertag1",
+]
+
+
+def _cells_cte(cells: list[str]) -> str:
+    return f"cells AS (SELECT event_id, {', '.join(cells)} FROM tags)"
+
+
+def _positions_sql(layout: list, table: str, key: str = "event_id") -> str:
+    """(key, position, value) of every stored number, in SQL."""
+    pairs, at = [], 0
+    for f in layout:
+        if isinstance(f, FL.Number):
+            pairs.append(f"{{'p': {at}, 'v': round(coalesce({f.name}, 0)::DOUBLE, 6)}}")
+        else:
+            if isinstance(f, FL.Hashed):
+                index = f"{sql_md5(f.name + '::VARCHAR')} % {f.width}"
+            elif isinstance(f, FL.Words):
+                index = f"list_position([{', '.join(repr(w) for w in f.words)}], {f.name}) - 1"
+            elif isinstance(f, FL.Identity):
+                index = f"CASE WHEN {f.name} >= 0 AND {f.name} < {f.width} THEN {f.name} END"
+            elif isinstance(f, FL.Bounded):
+                index = f"CASE WHEN {f.name} IS NOT NULL THEN {' + '.join(f'({f.name} >= {b})::INT' for b in f.bounds)} END"
+            else:
+                index = f"{sql_md5_tuple(*f.names)} % {f.width}"
+            pairs.append(f"{{'p': {at} + ({index}), 'v': CASE WHEN ({index}) >= 0 THEN 1.0::DOUBLE ELSE 0.0 END}}")
+        at += f.width
+    return f"SELECT {key}, x.p::INTEGER AS position, x.v AS value FROM (SELECT {key}, unnest([{', '.join(pairs)}]) AS x FROM {table}) WHERE x.v <> 0"
+
+
+def _encoded(df: DataFrame, layout: list, key: str = "event_id") -> DataFrame:
+    found = FL.encode(df, layout, method="md5").select(key, F.inline(FL.positions("features")))
+    return found.select(key, "position", F.round("value", 6).alias("value"))
+
+
+_TAG_LAYOUT = [*LA.TAG_FEATURES, *LA.TAG_SCORE_BUCKETS]
+
+
+@query("tag_features", sql("tags", _positions_sql(_TAG_LAYOUT, "cells"), _cells_cte(_TAG_CELLS)))
+def q_tag_features(spark: SparkSession, sf: str) -> DataFrame:
+    return _encoded(tag_samples(spark, sf).selectExpr("event_id", *_TAG_CELLS), _TAG_LAYOUT)
+
+
+@query("listing_features", sql("tags", _positions_sql(LA.LISTING_FEATURES, "cells"), _cells_cte(_LISTING_CELLS)))
+def q_listing_features(spark: SparkSession, sf: str) -> DataFrame:
+    return _encoded(tag_samples(spark, sf).selectExpr("event_id", *_LISTING_CELLS), LA.LISTING_FEATURES)
+
+
+@query("behaviour_features", sql("tags", _positions_sql(LA.BEHAVIOUR_FEATURES, "cells"), _cells_cte(_BEHAVIOUR_CELLS)))
+def q_behaviour_features(spark: SparkSession, sf: str) -> DataFrame:
+    return _encoded(tag_samples(spark, sf).selectExpr("event_id", *_BEHAVIOUR_CELLS), LA.BEHAVIOUR_FEATURES)
 
 
 @query("hashed_features", sql("tags", "SELECT event_id, 262144 AS size, round(2 + score, 6) AS total FROM tags"))

@@ -339,7 +339,7 @@ def q_popular(spark: SparkSession, sf: str) -> DataFrame:
 def _popular_sql(measure: str, where: str = "true") -> str:
     return sql(
         "ratings genre_rows",
-        f"""SELECT genre, rank, "movieId", "ratingNumber", "releaseYear" FROM (
+        rf"""SELECT genre, rank, "movieId", "ratingNumber", "releaseYear" FROM (
              SELECT *, row_number() OVER (PARTITION BY genre ORDER BY "{measure}" DESC, "movieId")::INTEGER AS rank
              FROM (SELECT g.genre, "movieId", coalesce(n, 0)::BIGINT AS "ratingNumber", regexp_extract(title, '(\d{{4}}).$', 1)::INTEGER AS "releaseYear"
                    FROM (SELECT DISTINCT * FROM genre_rows WHERE {where}) g JOIN movies USING ("movieId")
@@ -413,17 +413,12 @@ def q_history_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RECENT_CTES = (
-    f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY {SQL_ORDER}) AS seq,
+    f"""numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY {SQL_ORDER}) AS seq,
           coalesce(sum(CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END) OVER {_BEFORE}, 0) AS seen FROM ratings)""",
-    """positives AS (SELECT "userId", "movieId" AS item, row_number() OVER (PARTITION BY "userId" ORDER BY seq) AS nth
-          FROM numbered WHERE rating >= 3.5)""",
+    """positives AS (SELECT "userId", list("movieId" ORDER BY seq) AS liked FROM numbered WHERE rating >= 3.5 GROUP BY 1)""",
     "recent AS (SELECT n.*, "
-    + ", ".join(f'coalesce(p{i}.item, 0) AS "userRatedMovie{i}"' for i in range(1, 6))
-    + " FROM numbered n "
-    + " ".join(
-        f'LEFT JOIN positives p{i} ON p{i}."userId" = n."userId" AND p{i}.nth = n.seen - {i - 1}' for i in range(1, 6)
-    )
-    + ")",
+    + ", ".join(f'CASE WHEN seen >= {i} THEN liked[seen::BIGINT - {i - 1}] ELSE 0 END AS "userRatedMovie{i}"' for i in range(1, 6))
+    + ' FROM numbered n LEFT JOIN positives USING ("userId"))',
 )
 RECENT_COLUMNS = [f"userRatedMovie{i}" for i in range(1, 6)]
 SQL_RECENT = ", ".join(f'"{c}"' for c in RECENT_COLUMNS)

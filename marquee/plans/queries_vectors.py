@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.durable import written
+from marquee.durable import scratch_path, written
 from marquee.functions.encoders import hash_bucket
 from marquee.functions.numeric import dot, euclidean, vec_sum
 from marquee.functions.text import genre_slot
 from marquee.operators import embedding as EM
+from marquee.operators import graph as G
 from marquee.operators import histories as H
+from marquee.operators import interactions as IA
+from marquee.operators import lsh as LS
 from marquee.operators import retrieval as R
 from marquee.operators.aggregates import genre_preference
 from marquee.operators.samples import join_movies, lookup_embedding, positive_ratings
 from marquee.plans.queries_features import sql_md5
-from marquee.plans.queries_graph import pair_counts
 from marquee.plans.queries_samples import GENRE_PREFERENCE_CTES, KEY, RECENT_CTES, SQL_KEY
 from marquee.plans.registry import query, sql
 from marquee.skew import hot_keys, skew_join
 from marquee.sources.adapters import USER_HISTORY, VECTOR_DIM, item_vectors, movies, ratings, ratings_table
+from marquee.sources.sinks import export_kv, read_embedding_text, write_embedding_text
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -31,12 +34,6 @@ def _positions(df: DataFrame, *ids: str, emb: str = "emb", digits: int = 6) -> D
     return df.select(*ids, F.posexplode(emb).alias("pos", "v")).withColumn("v", F.round("v", digits))
 
 
-def _finite(trained: DataFrame) -> DataFrame:
-    """Positions of trained vectors, whose values only have to be numbers."""
-    parts = trained.select("id", F.posexplode("emb").alias("pos", "v"))
-    return parts.select("id", "pos", (F.col("v").isNotNull() & ~F.isnan("v")).alias("finite"))
-
-
 _DOT = "list_dot_product({a}, {b})"
 _RAW_COS = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
@@ -92,28 +89,36 @@ def q_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(R.approx_nearest(item_vectors(spark, sf), SAMPLE_PROBE, 5, exact=True), "distance")
 
 
-@query("approx_nearest", "SELECT 5::BIGINT AS n, true AS known, true AS not_nearer")
+# The stated query set of searches: every vector whose id is divisible by 50.
+ASKED = "id % 50 = 0"
+
+
+@query("approx_nearest", sql("vectors", f"SELECT id, 5::BIGINT AS n, true AS real, true AS recalled FROM vectors WHERE {ASKED}"))
 def q_approx(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = item_vectors(spark, sf)
-    found = R.approx_nearest(vectors, SAMPLE_PROBE, 5, exact=False)
-    probe = F.array(*[F.lit(v) for v in SAMPLE_PROBE])
-    least = R.nearest_k(vectors, probe, 1).agg(F.min("distance")).scalar()
-    true = vectors.select("id", euclidean(F.col("emb"), probe).alias("true"))
-    return found.join(true, "id", "left").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bool_and(F.abs(F.col("distance") - F.col("true")) < 1e-6).alias("known"),
-        F.bool_and(F.col("distance") >= least - 1e-6).alias("not_nearer"),
-    )
+    vectors = item_vectors(spark, sf).select("id", "emb")
+    asked = vectors.filter(ASKED)
+    found = written(LS.lsh_top_k(asked, vectors, 5, VECTOR_DIM, same=True), "nearest")
+    true = R.blocked_top_k(asked, vectors, 5, "euclidean", same=True)
+    recall = LS.recall_of(found, true, ["id", "item"])
+    # Distances are those of the vectors themselves.
+    ends = found.join(vectors, "id").join(vectors.select(F.col("id").alias("item"), F.col("emb").alias("other")), "item")
+    real = F.abs(F.col("distance") - euclidean(F.col("emb"), F.col("other"))) < 1e-9
+    return ends.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(real).alias("real")).withColumn("recalled", recall >= LS.RECALL)
+
 
+_UNITS = LS.projections(VECTOR_DIM).tolist()
 
-@query("lsh_buckets", sql("vectors", 'SELECT id, 3::BIGINT AS tables, true AS near FROM vectors'))
+
+@query(
+    "lsh_buckets",
+    sql(
+        "vectors",
+        'SELECT id, t::INTEGER AS "hashTable", floor(list_dot_product(emb, unit) / 0.1)::BIGINT AS "bucketId" FROM vectors, units',
+        f"units AS (SELECT unnest(range({len(_UNITS)})) AS t, unnest({_UNITS}::DOUBLE[][]) AS unit)",
+    ),
+)
 def q_buckets(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = item_vectors(spark, sf)
-    # A projection of a vector is at most its length, so its bucket lies within length / width.
-    length = F.sqrt(dot(F.col("emb"), F.col("emb")))
-    hashed = R.lsh_buckets(vectors).join(vectors.select("id", length.alias("length")), "id")
-    near = F.abs(F.col("bucketId")) <= F.col("length") / 0.1 + 1
-    return hashed.groupBy("id").agg(F.countDistinct("hashTable").alias("tables"), F.bool_and(near).alias("near"))
+    return LS.lsh_buckets(item_vectors(spark, sf), VECTOR_DIM)
 
 
 CLOSE = 1.1
@@ -152,24 +157,23 @@ def q_classes(spark: SparkSession, sf: str) -> DataFrame:
     sql(
         "vectors",
         f"""SELECT * FROM (SELECT a.id, b.id AS other, {_DIST.format(a='a.emb', b='b.emb')} AS distance
-              FROM copied a JOIN copied b ON a.id <> b.id AND a.id % 10 = 0) WHERE distance <= {CLOSE}""",
+              FROM copied a JOIN copied b ON a.id <> b.id AND a.id % 50 = 0) WHERE distance <= {CLOSE}""",
         COPIED,
     ),
 )
 def q_pairs_of(spark: SparkSession, sf: str) -> DataFrame:
     v = copied_vectors(spark, sf)
-    return R.pairs_of(R.similar_pairs(v, CLOSE), R.copy_classes(v), v.filter("id % 10 = 0"))
+    return R.pairs_of(R.similar_pairs(v, CLOSE), R.copy_classes(v), v.filter(ASKED))
 
 
 @query("similar_pairs_lsh", "SELECT 0::BIGINT AS wrong, true AS recalled")
 def q_pairs_lsh(spark: SparkSession, sf: str) -> DataFrame:
     vectors = item_vectors(spark, sf)
     exact = written(R.similar_pairs(vectors, CLOSE), "pairs")
-    found = written(R.similar_pairs(vectors, CLOSE, exact=False, bucket_length=0.5), "pairs")
-    # Every found pair is real; at least half of the real ones are found.
-    share = F.count("found") >= F.count("real") / 2
-    both = exact.select("id_a", "id_b", F.lit(1).alias("real")).join(found.select("id_a", "id_b", F.lit(1).alias("found")), ["id_a", "id_b"], "full")
-    return both.agg(F.count(F.when(F.col("real").isNull(), 1)).alias("wrong"), share.alias("recalled"))
+    found = written(R.similar_pairs(vectors, CLOSE, exact=False, dim=VECTOR_DIM), "pairs")
+    # Every found pair is real, with its distance; nine tenths of the real ones are found.
+    wrong = found.join(exact, ["id_a", "id_b", "distance"], "left_anti").agg(F.count(F.lit(1)).alias("wrong"))
+    return wrong.withColumn("recalled", LS.recall_of(found, exact, ["id_a", "id_b"]) >= LS.RECALL)
 
 
 USER_VECTOR_CTE = """user_vectors AS (
@@ -246,7 +250,7 @@ def q_fm(spark: SparkSession, sf: str) -> DataFrame:
     fields = [("movieId", "item"), ("userId", "user"), ("ig_name", "itemGenre"), ("ug_name", "userGenre")]
     indexed = written(sampled.withColumn("_n", n).select(*KEY, *[index(a, b) for a, b in fields]), "indexed")
     terms = ["item_user", "itemGenre_userGenre", "itemGenre_user", "item_userGenre"]
-    crossed = R.fm_cross_terms(indexed, {b: v for _, b in fields}, VECTOR_DIM)
+    crossed = IA.fm_cross_terms(indexed, {b: v for _, b in fields}, VECTOR_DIM)
     return crossed.select(*KEY, *[F.round(t, 6).alias(t) for t in terms])
 
 
@@ -258,44 +262,102 @@ _H = ", ".join(f'"{h}"' for h in HISTORY)
     "history_attention_pool",
     sql(
         "ratings vectors",
-        f"""SELECT "movieId", {_H}, round(sum(v), 6) + 0.0 AS total, round(sum(v * v), 6) + 0.0 AS square,
+        f"""SELECT {SQL_KEY}, total, square, head, tail FROM recent JOIN pooled USING ("movieId", {_H})""",
+        *RECENT_CTES,
+        f"""filled AS (SELECT i AS id, coalesce(emb, list_transform(range({VECTOR_DIM}), lambda z: 0.0::DOUBLE)) AS emb FROM
+              (SELECT DISTINCT "movieId" AS i FROM ratings UNION SELECT 0) LEFT JOIN vectors ON id = i)""",
+        f"""pooled AS (SELECT "movieId", {_H}, round(sum(v), 6) + 0.0 AS total, round(sum(v * v), 6) + 0.0 AS square,
                    round(max(CASE WHEN pos = 0 THEN v END), 6) + 0.0 AS head, round(max(CASE WHEN pos = {VECTOR_DIM - 1} THEN v END), 6) + 0.0 AS tail
             FROM (SELECT "movieId", {_H}, pos, sum(CASE WHEN h = 0 THEN 0 ELSE x / (1 + exp(-d)) END) AS v FROM (
               SELECT k.*, unnest(hv.emb) AS x, generate_subscripts(hv.emb, 1)::INTEGER - 1 AS pos, list_dot_product(hv.emb, c.emb) AS d
               FROM (SELECT *, unnest([{_H}]) AS h FROM (SELECT DISTINCT "movieId", {_H} FROM recent)) k
-              JOIN filled hv ON hv.id = k.h JOIN filled c ON c.id = k."movieId") GROUP BY ALL) GROUP BY ALL""",
-        *RECENT_CTES,
-        f"""filled AS (SELECT i AS id, coalesce(emb, list_transform(range({VECTOR_DIM}), lambda z: 0.0::DOUBLE)) AS emb FROM
-              (SELECT DISTINCT "movieId" AS i FROM ratings UNION SELECT 0) LEFT JOIN vectors ON id = i)""",
+              JOIN filled hv ON hv.id = k.h JOIN filled c ON c.id = k."movieId") GROUP BY ALL) GROUP BY ALL)""",
     ),
 )
 def q_attention(spark: SparkSession, sf: str) -> DataFrame:
     recent = H.recent_items(ratings_table(spark, sf), 5, USER_HISTORY)
-    pooled = R.history_attention_pool(recent, item_vectors(spark, sf), VECTOR_DIM, "movieId", HISTORY)
+    pooled = IA.history_attention_pool(recent, item_vectors(spark, sf), VECTOR_DIM, "movieId", HISTORY)
     p = F.col("pooled")
     parts = {"total": vec_sum(p), "square": dot(p, p), "head": F.get(p, F.lit(0)), "tail": F.get(p, F.lit(VECTOR_DIM - 1))}
-    return pooled.select("movieId", *HISTORY, *[F.round(v, 6).alias(n) for n, v in parts.items()])
+    return pooled.select(*KEY, *[F.round(v, 6).alias(n) for n, v in parts.items()])
 
 
 # ------------------------------------------------------- trained embeddings
 
-_TRAINED_ITEMS = """known AS (SELECT "movieId" FROM ratings WHERE rating >= 3.5 GROUP BY 1 HAVING count(*) >= 5)"""
+_BRAND = "string_split(genres, '|')[3]"
+_SESSION_ITEMS = f"""liked AS (SELECT "movieId", brand, count(*) AS n, count(*) OVER () AS items FROM (
+    SELECT "movieId", {_BRAND} AS brand FROM ratings JOIN movies USING ("movieId") WHERE rating >= 3.5) GROUP BY 1, 2 HAVING count(*) >= 5)"""
+
+
+def brand_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Positive ratings of one brand's items in time order, in sessions of 20: items of a brand
+    stand together, so a trained space must show the brands."""
+    brand = movies(spark, sf).select("movieId", F.get(F.split("genres", "\\|"), F.lit(2)).alias("brand"))
+    rated = join_movies(ratings_table(spark, sf), brand)
+    by_brand = H.History(keys=("brand",), time=USER_HISTORY.time, ties=("userId", *USER_HISTORY.ties))
+    return H.user_sequences(rated, by_brand, max_len=20)
+
+
+def _neighbours_share(trained: DataFrame, spark: SparkSession, sf: str):
+    """Share of items whose nearest trained vector is of their own brand, as a scalar."""
+    brand = movies(spark, sf).select(F.col("movieId").cast("string").alias("id"), F.get(F.split("genres", "\\|"), F.lit(2)).alias("brand"))
+    near = R.similar_items(trained, 1).select("id", "item")
+    both = near.join(brand, "id").join(brand.select(F.col("id").alias("item"), F.col("brand").alias("_other")), "item")
+    return both.agg(F.avg((F.col("brand") == F.col("_other")).cast("double")).alias("share")).scalar()
+
+
+def _judged(trained: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """(id, dims, finite, clustered): nine tenths of the nearest neighbours are of the own brand."""
+    share = _neighbours_share(trained, spark, sf)
+    numbers = F.forall("emb", lambda v: ~F.isnan(v) & (F.abs(v) < 1e6))
+    return trained.select("id", F.size("emb").alias("dims"), numbers.alias("finite"), (share >= 0.9).alias("clustered"))
 
 
 @query(
     "train_item2vec",
-    sql("ratings", 'SELECT "movieId"::VARCHAR AS id, unnest(range(10))::INTEGER AS pos, true AS finite FROM known', _TRAINED_ITEMS),
+    sql("ratings movies", 'SELECT "movieId"::VARCHAR AS id, 10::INTEGER AS dims, true AS finite, true AS clustered FROM liked', _SESSION_ITEMS),
 )
 def q_item2vec(spark: SparkSession, sf: str) -> DataFrame:
-    seqs = H.user_sequences(ratings_table(spark, sf), USER_HISTORY)
-    return _finite(EM.train_item2vec(seqs))
+    return _judged(written(EM.train_item2vec(brand_sessions(spark, sf)), "embedding"), spark, sf)
 
 
-@query("train_graph_embedding", "SELECT 0::BIGINT AS strangers, 0::BIGINT AS broken, true AS any")
+@query("train_graph_embedding", "SELECT 0::BIGINT AS strangers, 0::BIGINT AS broken, true AS any, true AS clustered")
 def q_graph_embedding(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = written(pair_counts(spark, sf), "pair-counts")
-    trained = written(_finite(EM.train_graph_embedding(pairs)), "embedding")
-    nodes = pairs.select(F.explode(F.array("src", "dst")).alias("n")).select(F.col("n").cast("string").alias("id")).distinct()
-    strange = trained.join(nodes, "id", "left_anti").agg(F.count(F.lit(1))).scalar()
-    broken = trained.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("finite").alias("finite")).filter("n <> 10 or not finite")
-    return trained.agg((F.count(F.lit(1)) > 0).alias("any")).select(strange.alias("strangers"), broken.agg(F.count(F.lit(1))).scalar().alias("broken"), "any")
+    pairs = written(G.item_pair_counts(G.pairs_of_sequences(brand_sessions(spark, sf), "movieIds")), "pair-counts")
+    trained = written(EM.train_graph_embedding(pairs), "embedding")
+    judged = written(_judged(trained, spark, sf), "judged")
+    nodes = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    strange = judged.join(nodes, "id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    broken = judged.filter("dims <> 10 or not finite").agg(F.count(F.lit(1))).scalar()
+    return judged.agg((F.count(F.lit(1)) > 0).alias("any"), F.bool_and("clustered").alias("clustered")).select(
+        strange.alias("strangers"), broken.alias("broken"), "any", "clustered"
+    )
+
+
+# The published flow: train on user sequences, write text and key-value rows, read back, hash, search.
+_KNOWN_ITEMS = """known AS (SELECT "movieId" FROM ratings WHERE rating >= 3.5 GROUP BY 1 HAVING count(*) >= 5)"""
+
+
+@query(
+    "embedding_flow",
+    sql(
+        "ratings",
+        """SELECT "movieId"::VARCHAR AS id, true AS same, 'i2vEmb:' || "movieId" AS key, 10::BIGINT AS numbers, 3::BIGINT AS tables, true AS near FROM known""",
+        _KNOWN_ITEMS,
+    ),
+)
+def q_embedding_flow(spark: SparkSession, sf: str) -> DataFrame:
+    trained = written(EM.train_item2vec(H.user_sequences(ratings_table(spark, sf), USER_HISTORY), iterations=3), "embedding")
+    path = scratch_path(spark, "embedding-text")
+    write_embedding_text(trained, path)
+    read = written(read_embedding_text(spark, path).withColumn("emb", F.col("emb").cast("array<double>")), "embedding")
+    kept = export_kv(read, "i2vEmb", F.lit(1_700_000_000)).select("key", F.size(F.split("value", " ")).cast("bigint").alias("numbers"))
+    tables = LS.lsh_buckets(read, EM.DIM).groupBy("id").agg(F.countDistinct("hashTable").alias("tables"))
+    # The stated query set, against all rows.
+    asked = read.filter(F.pmod(F.col("id").cast("bigint"), F.lit(50)) == 0)
+    found = written(LS.lsh_top_k(asked, read, 5, EM.DIM, same=True), "nearest")
+    recall = LS.recall_of(found, R.blocked_top_k(asked, read, 5, "euclidean", same=True), ["id", "item"])
+    text = F.transform("t.emb", lambda v: v.cast("float")) == F.transform("r.emb", lambda v: v.cast("float"))
+    both = trained.alias("t").join(read.alias("r"), F.col("t.id") == F.col("r.id")).select("t.id", text.alias("same"))
+    keyed = both.withColumn("key", F.concat(F.lit("i2vEmb:"), "id")).join(kept, "key").join(tables, "id")
+    return keyed.select("id", "same", "key", "numbers", "tables", (recall >= LS.RECALL).alias("near"))

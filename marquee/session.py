@@ -6,6 +6,10 @@ the benchmark only.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings worth carrying over to a cluster session as well.
@@ -30,4 +34,15 @@ def local_session(app: str = "marquee", cores: int | str = 8, shuffle_partitions
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    name_scratch(spark)
     return spark
+
+
+def name_scratch(spark: SparkSession) -> None:
+    """Give a local session without ``spark.checkpoint.dir`` a folder, gone when Python ends."""
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or not context.master.startswith("local["):
+        return
+    folder = tempfile.mkdtemp(prefix="marquee-scratch-")
+    context.setCheckpointDir(folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)

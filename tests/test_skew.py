@@ -175,8 +175,8 @@ def test_similar_pairs(spark, block):
     full = {(a, b): round(float(np.linalg.norm(all_ids[a] - all_ids[b])), 6) for a in range(50) for b in range(50) if a != b}
     asked = R.pairs_of(R.similar_pairs(df, 2.0, block_rows=block), classes, df.filter("id in (0, 3, 41)")).collect()
     assert {(r.id, r.other): r.distance for r in asked} == {k: d for k, d in full.items() if d <= 2.0 and k[0] in (0, 3, 41)}
-    near = {(r.id_a, r.id_b) for r in R.similar_pairs(df, 2.0, exact=False, bucket_length=4.0, block_rows=block).collect()}
-    assert near <= set(want) and len(near) > len(want) // 2
+    near = {(r.id_a, r.id_b) for r in R.similar_pairs(df, 2.0, exact=False, dim=len(rows[0][1]), bucket_length=4.0, block_rows=block).collect()}
+    assert near <= set(want) and len(near) >= 0.9 * len(want)
 
 
 @pytest.mark.parametrize("scope", ["global", "as_of"])
