@@ -506,21 +506,34 @@ HISTORY_CTE = f"""history AS (SELECT *, CASE WHEN rating >= 3.5 THEN 1 ELSE 0 EN
     round(coalesce(stddev_samp(rating) OVER {_BEFORE}, 0), 6) AS "userRatingStddev" FROM recent)"""
 
 
-def _sample_sql(movie_stats_join: str, *ctes: str) -> str:
+# Favourites from the positives before each rating only.
+FAVOURITES_AS_OF_CTES = (
+    """earlier AS (SELECT n."userId", n.seq, g.genre, count(*) AS cnt FROM numbered n
+         JOIN numbered p ON p."userId" = n."userId" AND p.seq < n.seq AND p.rating >= 3.5
+         JOIN genre_rows g ON g."movieId" = p."movieId" GROUP BY 1, 2, 3)""",
+    'favourites AS (SELECT "userId", seq, '
+    + ", ".join(f'max(CASE WHEN rank = {i} THEN genre END) AS "userGenre{i}"' for i in range(1, 6))
+    + ' FROM (SELECT *, row_number() OVER (PARTITION BY "userId", seq ORDER BY cnt DESC, genre) AS rank FROM earlier) GROUP BY 1, 2)',
+)
+
+
+def _sample_sql(movie_stats_join: str, favourites: tuple[str, ...], on: str, *ctes: str) -> str:
     columns = ", ".join(f'"{c}"' for c in SAMPLE_OUT)
     return sql(
         "ratings genre_rows",
-        f"""SELECT {columns} FROM {movie_stats_join} LEFT JOIN catalogue USING ("movieId") LEFT JOIN favourites USING ("userId")""",
+        f"""SELECT {columns} FROM {movie_stats_join} LEFT JOIN catalogue USING ("movieId") LEFT JOIN favourites USING ({on})""",
         CATALOGUE_CTE,
-        *GENRE_PREFERENCE_CTES,
-        FAVOURITES_CTE,
         *RECENT_CTES,
+        *favourites,
         HISTORY_CTE,
         *ctes,
     )
 
 
-@query("training_samples", _sample_sql('history LEFT JOIN movie_stats USING ("movieId")', STATS_CTE))
+@query(
+    "training_samples",
+    _sample_sql('history LEFT JOIN movie_stats USING ("movieId")', (*GENRE_PREFERENCE_CTES, FAVOURITES_CTE), '"userId"', STATS_CTE),
+)
 def q_samples(spark: SparkSession, sf: str) -> DataFrame:
     out = training_samples(ratings_table(spark, sf), movies(spark, sf), USER_HISTORY, MOVIE_HISTORY)
     return out.withColumns({c: F.round(c, 6) for c in ("userAvgRating", "userRatingStddev")}).select(*SAMPLE_OUT)
@@ -534,6 +547,8 @@ _MOVIE_BEFORE = """(PARTITION BY "movieId" ORDER BY "timestamp", l_orderkey, l_l
     "training_samples_as_of",
     _sample_sql(
         "timed",
+        FAVOURITES_AS_OF_CTES,
+        '"userId", seq',
         f"""timed AS (SELECT *, count(rating) OVER {_MOVIE_BEFORE}::BIGINT AS "movieRatingCount",
               round(coalesce(avg(rating) OVER {_MOVIE_BEFORE}, 0), 6) AS "movieAvgRating",
               round(coalesce(stddev_samp(rating) OVER {_MOVIE_BEFORE}, 0), 6) AS "movieRatingStddev" FROM history)""",

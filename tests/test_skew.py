@@ -21,7 +21,9 @@ FINE = H.History(ties=TIES, hot_rows=3, span=1)
 
 
 def bag(df):
-    return Counter(repr(r) for r in df.select(*sorted(df.columns)).collect())
+    """Rows with their counts; numbers to nine places, as merged deviations differ in the last bits."""
+    rows = df.select(*sorted(df.columns)).collect()
+    return Counter(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in rows)
 
 
 @pytest.mark.parametrize("cut", [CUT, FINE])
@@ -215,3 +217,57 @@ def test_rows_without_a_key_are_sliced(spark):
     assert laid.df.filter("userId is null").select("_slice").distinct().count() > 5
     for f in (H.with_position, H.prior_stats, H.next_item):
         assert bag(f(df, history=small)) == bag(f(df, history=plain))
+
+
+def test_one_second_of_one_key_is_cut_by_rank(spark):
+    """All rows of a key carry one timestamp: the key is visibly sliced, and nothing changes."""
+    rows = [(1 if i % 3 else i % 40, (i * 7) % 50, (i % 10) / 2, 1000, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp bigint, line int")
+    small = H.History(ties=TIES, hot_rows=100)
+    laid = small.lay_out(df)
+    sizes = [r["count"] for r in laid.df.filter("userId = 1").groupBy("_slice").count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 300
+    for run in (H.with_position, H.prior_stats, H.next_item, lambda d, history: H.recent_items(d, 4, history), lambda d, history: H.user_sequences(d, history, max_len=9)):
+        assert bag(run(df, history=small)) == bag(run(df, history=PLAIN))
+
+
+def test_deviation_far_from_zero(spark):
+    """Values near 1e9 with deviation 1: merged slices equal a two-pass deviation."""
+    rng = np.random.default_rng(3)
+    values = 1e9 + rng.normal(size=600)
+    rows = [(1, 0, float(v), i * 3600, i) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp bigint, line int")
+    for history in (PLAIN, CUT, FINE, H.History(ties=TIES, hot_rows=50, span=10**9)):
+        for r in H.prior_stats(df, history).collect():
+            if r.line >= 2:
+                before = values[: r.line]
+                assert r.userRatingStddev == pytest.approx(np.std(before - before.mean(), ddof=1), rel=1e-6)
+                assert r.userAvgRating == pytest.approx(before.mean(), rel=1e-12)
+
+
+@pytest.mark.parametrize("history", [PLAIN, CUT, FINE], ids=["plain", "cut", "fine"])
+def test_running_favourites_against_brute_force(spark, big_user, history):
+    """Every row sees the genres of its own past only."""
+    genres = {m: [f"g{m % 5}", f"h{m % 3}"] + (["x"] if m % 7 == 0 else []) for m in range(0, 41)}
+    table = spark.createDataFrame([(m, g) for m, g in genres.items() if m % 11], "movieId bigint, genres array<string>")
+    rated = big_user.join(table, "movieId", "left")
+    got = Counter((r.userId, r.line, r.movieId, r.rating, r.timestamp, r.userGenre1, r.userGenre2, r.userGenre3) for r in H.running_favourites(rated, "genres", 3, history).collect())
+    want, counts, user = Counter(), Counter(), None
+    for r in sorted(big_user.collect(), key=lambda r: (r.userId, r.timestamp, r.line, r.movieId, r.rating)):
+        if r.userId != user:
+            user, counts = r.userId, Counter()
+        best = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:3]]
+        want[(r.userId, r.line, r.movieId, r.rating, r.timestamp, *(best + [None] * 3)[:3])] += 1
+        if r.rating >= 3.5 and r.movieId % 11:
+            counts.update(genres[r.movieId])
+    # Equal rows may swap their places.
+    assert Counter(k[:5] for k in got) == Counter(k[:5] for k in want)
+    assert sum((got & want).values()) >= sum(want.values()) - 40
+    assert got == want
+
+
+def test_favourites_of_rows_without_a_key(spark):
+    rows = [(None if i % 2 else 1, i, 5.0, i * 3600, i, [f"g{i % 3}"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp bigint, line int, genres array<string>")
+    cut = H.History(ties=TIES, hot_rows=5, span=7200)
+    assert bag(H.running_favourites(df, "genres", 2, cut)) == bag(H.running_favourites(df, "genres", 2, PLAIN))
