@@ -40,12 +40,14 @@ from marquee.llm.bitmap import collect_bits, has, slot_of
 from marquee.llm.components import connected_components
 from marquee.llm.frames import bounded_batches, record_batch
 from marquee.llm.words import blocks, mix, split_words
+from marquee.skew import hottest, salted_join
 
 HOT_TOKENS = 262_144  # at most so many tokens in the broadcast order: 12 bytes each
 HOT_COUNT = 8  # a token in fewer documents is ordered by its hash
 TOKENS_PER_SORT = 1_000_000  # bound of a task's buffer
 ROWS_AT_ONCE = 512
 ORDERS = 3
+LARGE_CLASS = 500
 
 
 @dataclass(frozen=True)
@@ -137,11 +139,13 @@ def frequent_tokens(docs: DataFrame, text: str, like: Likeness) -> tuple[np.ndar
         held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            tokens = np.sort(np.concatenate(held))
+            """Each token once, with its count: a line that many documents share is one entry."""
+            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             part = (tokens * np.uint64(parts)) >> np.uint64(32)
             found, starts = np.unique(part, return_index=True)
-            return record_batch({"part": found.astype(np.int32), "blob": [pack(t) for t in np.split(tokens, starts[1:])]}, _PACKED)
+            pieces = zip(np.split(tokens, starts[1:]), np.split(counts.astype("<u4"), starts[1:]), strict=True)
+            return record_batch({"part": found.astype(np.int32), "blob": [pack(t) + c.tobytes() for t, c in pieces]}, _PACKED)
 
         for _, values in _each_block(batches, text):
             held.append(shingle_sets(values, like.width).tokens >> np.uint64(32))
@@ -151,11 +155,16 @@ def frequent_tokens(docs: DataFrame, text: str, like: Likeness) -> tuple[np.ndar
             yield flush()
 
     def counted(group: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.sort(np.concatenate([unpack(b) for b in group["blob"]]))
+        # Eight bytes a token, four a count.
+        sizes = [len(b) // 12 * 8 for b in group["blob"]]
+        tokens = np.concatenate([unpack(b[:n]) for b, n in zip(group["blob"], sizes, strict=True)])
+        found = np.concatenate([np.frombuffer(b[n:], dtype="<u4") for b, n in zip(group["blob"], sizes, strict=True)])
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        counts = np.diff(np.append(starts, len(tokens)))
+        counts = np.add.reduceat(found[order].astype(np.int64), starts)
         often = counts >= HOT_COUNT
-        return pd.DataFrame({"token": tokens[starts[often]].astype(np.int64), "df": counts[often].astype(np.int64)})
+        return pd.DataFrame({"token": tokens[starts[often]].astype(np.int64), "df": counts[often]})
 
     counts = docs.select(text).mapInArrow(packed, _PACKED).groupBy("part").applyInPandas(counted, _COUNTED)
     top = counts.orderBy(F.desc("df"), "token").limit(HOT_TOKENS).toArrow()
@@ -388,7 +397,7 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     rows = written(nodes_and_postings(source, "text", like, hot), "ngram-rows")
     nodes = rows.filter("part is null").select("doc_id", "n", "set_id")
     # Equal sets are one node, named by its least id.
-    classes = nodes.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    classes = nodes.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
     plain = rows.filter("part is not null").select("part", "blob").groupBy("part").applyInPandas(_shared_of_part, _POSTING)
     frequent = (
         rows.filter("part is null and size(token) > 0")
@@ -429,6 +438,8 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     second = written(verified(across, source, like), "ngram-links")
     components = written(connected_components(first.unionByName(second)), "ngram-components")
     of_class = classes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
-    return nodes.join(of_class, "set_id", "left").select(
+    # A class of copies beyond LARGE_CLASS is spread over the tasks of the join.
+    large = hottest(classes, ["set_id"], "members", LARGE_CLASS)
+    return salted_join(nodes, of_class, ["set_id"], large).select(
         F.col("doc_id").alias(id_column), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )

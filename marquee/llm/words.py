@@ -13,7 +13,9 @@ from functools import lru_cache
 
 import numpy as np
 
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 262_144
+# Bytes hashed together; a longer word is hashed alone.
+HASH_BYTES = 262_144
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 _BYTE_CODES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -32,8 +34,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; those of a very long word are not kept."""
+    return _usual_powers() if size <= 2 * HASH_BYTES else _new_powers(size)
+
+
+@lru_cache(maxsize=1)
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _new_powers(2 * HASH_BYTES)
+
+
+def _new_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(size, _BASE, dtype=np.uint64)
     down = np.full(size, _INVERSE, dtype=np.uint64)
     up[0] = down[0] = 1
@@ -65,13 +76,20 @@ class Words:
 
     def hashes(self, lower: bool, first: int | None = None) -> np.ndarray:
         """64-bit hash of each word, or of its first bytes, A-Z in lower case if asked."""
-        n = len(self.raw)
-        up, down = _powers(1 << max(20, int(n).bit_length()))
-        codes = _BYTE_CODES[_LOWER[self.raw] if lower else self.raw]
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(codes * up[:n], out=total[1:])
         ends = self.ends if first is None else np.minimum(self.ends, self.starts + first)
-        return mix((total[ends] - total[self.starts]) * down[self.starts])
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        begin = 0
+        while begin < len(self.starts):
+            low = int(self.starts[begin])
+            end = max(begin + 1, int(np.searchsorted(ends, low + HASH_BYTES, side="right")))
+            part = self.raw[low : int(ends[end - 1])]
+            up, down = _powers(len(part))
+            total = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_CODES[_LOWER[part] if lower else part] * up[: len(part)], out=total[1:])
+            starts = self.starts[begin:end] - low
+            out[begin:end] = (total[ends[begin:end] - low] - total[starts]) * down[starts]
+            begin = end
+        return mix(out)
 
     def bytes_of(self, i: int) -> bytes:
         return self.raw[self.starts[i] : self.ends[i]].tobytes()
