@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_bucketed(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """As :func:`written`, one sorted file for each hash bucket of ``keys``: joins and groupings
+    on these keys read the table where it lies, without an exchange.
+
+    The files are in the shared folder; the session's catalogue knows them by a new name."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    laid = df.repartition(buckets, *keys).write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+    laid.saveAsTable(name)
+    return spark.table(name)
+
+
 def ensure_ml_checkpoints(spark: SparkSession) -> None:
     """Iterative MLlib fits (ALS) cut their lineage through the context setting."""
     if spark.sparkContext.getCheckpointDir() is None:

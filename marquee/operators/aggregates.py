@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.durable import written
 from marquee.functions.text import release_year, round_2dp, split_genres
 from marquee.operators.samples import POSITIVE, attach_scalar, join_movies, order_by_rating, top_k_per_group
 
@@ -113,7 +114,9 @@ def movie_profile(
 ) -> DataFrame:
     """Nested profile row per movie (A11): title, year, genres as a list, external ids
     where ``links`` has them, number and average of its ratings and its n best ones.
-    Groups are limited to n rows before the shuffle."""
+    Ratings are computed once, in the columns that are needed; groups are limited to n rows
+    before the shuffle."""
+    ratings = written(ratings.select("movieId", *dict.fromkeys(["userId", "rating", "timestamp", *ties])), "rated")
     best = (
         top_ratings(ratings, n, ties)
         .groupBy("movieId")

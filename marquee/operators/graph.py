@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.durable import written
+from marquee.durable import written, written_bucketed
 from marquee.functions.encoders import stable_hash
 from marquee.operators.histories import History, next_item
 from marquee.operators.samples import POSITIVE, attach_scalar, positive_ratings, share_of_group
@@ -147,6 +147,11 @@ def with_draw(walks: DataFrame, step: int, seed: int, method: str) -> DataFrame:
     return drawn.withColumn("bucket", F.floor(F.col("slot") / F.col("width"))).drop("total", "width")
 
 
+def guide_table(table: DataFrame) -> DataFrame:
+    """A guide table stored by (src, bucket), as :func:`walk_step` joins it."""
+    return written_bucketed(table, "guide", ["src", "bucket"])
+
+
 def walk_step(walks: DataFrame, table: DataFrame, step: int, seed: int = 0, method: str = "xxhash64") -> DataFrame:
     """The next item of every walk that can go on.
 
@@ -181,14 +186,14 @@ def random_walks(
 
     The first item follows the item distribution, each next one the transition
     probabilities; a walk ends early at an item without successor.  The guide
-    table is written once, as each step reads it.  Each step's frontier is
+    table is written once, in sorted buckets of (src, bucket): a step moves its
+    frontier to them and leaves the table where it lies.  Each step's frontier is
     written too: a lost executor repeats one step, and its true size lets the
-    planner broadcast a small frontier to the guide table instead of shuffling
-    that table at every step.
+    planner broadcast a small frontier instead.
     """
     edges = store(pair_counts, "edges")
     widths = source_widths(edges)
-    table = store(with_successor_widths(sampling_table(edges, method, hot_rows), widths, hot_rows), "guide")
+    table = guide_table(with_successor_widths(sampling_table(edges, method, hot_rows), widths, hot_rows))
     nodes = item_distribution(edges).select("item", "cnt")
     roots = with_successor_widths(start_table(nodes, method), widths, hot_rows)
     root = nodes.agg(

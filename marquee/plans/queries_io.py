@@ -92,18 +92,20 @@ def q_read_named(spark: SparkSession, sf: str) -> DataFrame:
     "read_matrix_tsv",
     sql(
         "vectors",
-        f"""SELECT label::VARCHAR AS label, {VECTOR_DIM} AS n, round(list_sum(emb), 4) + 0.0 AS total FROM vectors""",
+        """SELECT id, label, pos, round(v, 6) + 0.0 AS value FROM (
+             SELECT id::DOUBLE AS id, label::VARCHAR AS label, unnest(emb) AS v, generate_subscripts(emb, 1)::INTEGER AS pos FROM vectors)""",
     ),
 )
 def q_read_matrix(spark: SparkSession, sf: str) -> DataFrame:
     cells = F.transform("emb", lambda v: v.cast("string"))
     lines = item_vectors(spark, sf).select(
-        F.concat(F.col("label").cast("string"), F.lit("\t"), F.array_join(cells, "\t"), F.lit("\tlast")).alias("value")
+        F.concat_ws("\t", F.col("label").cast("string"), F.col("id").cast("string"), F.array_join(cells, "\t"), F.lit("last")).alias("value")
     )
     path = scratch_path(spark, "matrix-tsv")
     lines.write.text(path)
-    total = F.aggregate("features", F.lit(0.0).cast("double"), lambda a, v: a + v)
-    return RD.read_matrix_tsv(spark, path).select("label", F.size("features").alias("n"), F.round(total, 4).alias("total"))
+    read = RD.read_matrix_tsv(spark, path, columns=VECTOR_DIM + 1)
+    cells = read.select("label", F.get("features", F.lit(0)).alias("id"), F.posexplode("features").alias("pos", "value"))
+    return cells.filter("pos > 0").select("id", "label", "pos", F.round("value", 6).alias("value"))
 
 
 @query(

@@ -129,15 +129,34 @@ def read_named_csv(
     return checked.select(*[F.coalesce(typed[c], fill[c]).alias(c) for c in order])
 
 
-def read_matrix_tsv(spark: SparkSession, path: str, drop_last: bool = True) -> DataFrame:
+def read_matrix_tsv(
+    spark: SparkSession, path: str, drop_last: bool = True, columns: int | None = None, on_error: str = "raise"
+) -> DataFrame:
     """Headerless TSV matrix (S11): ``label`` is field 0, ``features`` the rest,
-    without the last field by default."""
+    without the last field by default.
+
+    A line without a cell, or with other than ``columns`` cells where that is given, or with
+    text in a cell is an error; an empty cell is NULL.  ``on_error`` is as for
+    :func:`read_typed_tsv`.
+    """
+    if on_error not in ("raise", "quarantine", "drop"):
+        raise ValueError("on_error must be 'raise', 'quarantine' or 'drop'")
     parts = spark.read.text(path).withColumn("_f", F.split("value", "\t", -1))
     n = F.size("_f") - F.lit(2 if drop_last else 1)
-    cells = F.slice(F.col("_f"), F.lit(2), F.greatest(n, F.lit(0)))
-    return parts.select(
-        F.get("_f", F.lit(0)).alias("label"), F.transform(cells, lambda c: c.try_cast("double")).alias("features")
-    )
+    cells = F.transform(F.slice(F.col("_f"), F.lit(2), F.greatest(n, F.lit(0))), lambda c: F.nullif(c, F.lit("")))
+    numbers = F.transform("_cells", lambda c: c.try_cast("double"))
+    text = F.exists("_cells", lambda c: c.isNotNull() & c.try_cast("double").isNull())
+    wrong = n < 1 if columns is None else n != columns
+    reason = F.when(wrong, F.concat(F.lit("cells: "), n.cast("string"))).when(text, F.lit("not a number"))
+    marked = parts.withColumn("_cells", cells).withColumn("_error", reason)
+    good = F.col("_error").isNull()
+    values = [F.get("_f", F.lit(0)).alias("label"), numbers.alias("features")]
+    if on_error == "quarantine":
+        return marked.select(*[F.when(good, v).alias(v_name) for v, v_name in zip(values, ("label", "features"))], "_error", F.when(~good, F.col("value")).alias("_line"))
+    if on_error == "drop":
+        return marked.filter(good).select(*values)
+    stop = F.raise_error(F.concat(F.lit("bad line, "), F.col("_error"), F.lit(": "), F.col("value"))).cast("boolean")
+    return marked.filter(F.when(good, F.lit(True)).otherwise(stop)).select(*values)
 
 
 def default_types(defaults: Mapping[str, object]) -> dict[str, str]:

@@ -72,3 +72,21 @@ def test_ties_are_total(spark, sf):
     r = ratings_table(spark, sf)
     dup = r.groupBy("userId", "timestamp", *RATING_TIES).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("rating").alias("d"))
     assert dup.filter("d > 1").count() == 0
+
+
+def test_a_walk_step_moves_its_frontier_only(spark):
+    """The guide table lies in buckets of the join key: with broadcasts off only the walks are shuffled."""
+    from marquee.operators import graph as G
+
+    counts = spark.createDataFrame([(i % 20, (i * 7) % 23, 1 + i % 5) for i in range(200)], "src int, dst int, cnt bigint").distinct()
+    table = G.guide_table(G.with_successor_widths(G.sampling_table(counts), G.source_widths(counts)))
+    start = spark.range(50).select(F.col("id").alias("walk_id"), (F.col("id") % 20).cast("int").alias("at"), F.lit(10).alias("total"), F.lit(2).alias("width"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = physical(G.walk_step(G.with_draw(start, 1, 7, "xxhash64"), table, 1, 7))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text and "SortMergeJoin" in text
+    # The one exchange is on the side of the walks.
+    assert "walk_id" in text[text.index("Exchange") :].split("FileScan")[0]

@@ -83,10 +83,27 @@ def test_named_csv(spark, tmp_path):
 
 
 def test_matrix(spark, tmp_path):
-    path = put(tmp_path, "m.tsv", "yes\t1\t2.5\tz\tlast\n")
+    path = put(tmp_path, "m.tsv", "yes\t1\t2.5\t\tlast\n")
     row = RD.read_matrix_tsv(spark, path).first()
     assert (row.label, row.features) == ("yes", [1.0, 2.5, None])
-    assert RD.read_matrix_tsv(spark, path, drop_last=False).first()["features"][-1] is None
+    with pytest.raises(Exception, match="not a number"):
+        RD.read_matrix_tsv(spark, path, drop_last=False).collect()
+
+
+def test_matrix_lines_that_are_wrong(spark, tmp_path):
+    path = tmp_path / "m.tsv"
+    path.write_text("a\t1\t2\tz\nb\t1\tx\tz\nc\t1\tz\nd\n\ne\t\t3\tz\n")
+    path = str(path)
+    good = [("a", [1.0, 2.0]), ("e", [None, 3.0])]
+    assert [tuple(r) for r in RD.read_matrix_tsv(spark, path, columns=2, on_error="drop").collect()] == good
+    held = RD.read_matrix_tsv(spark, path, columns=2, on_error="quarantine").collect()
+    assert [(r.label, r.features) for r in held if r["_error"] is None] == good
+    assert {r["_line"]: r["_error"] for r in held if r["_error"]} == {"b\t1\tx\tz": "not a number", "c\t1\tz": "cells: 1", "d": "cells: -1", "": "cells: -1"}
+    for n in (None, 2):
+        with pytest.raises(Exception, match="bad line"):
+            RD.read_matrix_tsv(spark, path, columns=n).collect()
+    with pytest.raises(ValueError):
+        RD.read_matrix_tsv(spark, path, on_error="ignore")
 
 
 def test_embedding_text_round_trip(spark, tmp_path):
