@@ -25,11 +25,10 @@ NULL id gives a NULL component and links nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ from marquee.skew import hottest, salted_join
 
 HOT_TOKENS = 262_144  # at most so many tokens in the broadcast order: 12 bytes each
 HOT_COUNT = 8  # a token in fewer documents is ordered by its hash
-TOKENS_PER_SORT = 1_000_000  # bound of a task's buffer
+TOKENS_PER_SORT = 400_000  # bound of a task's buffer
 ROWS_AT_ONCE = 512
 ORDERS = 3
 LARGE_CLASS = 500
@@ -131,6 +130,24 @@ def _parts_of(df: DataFrame) -> int:
     return 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _by_part(packed: DataFrame, of: Callable[[list[bytes]], pa.RecordBatch], schema: T.StructType) -> DataFrame:
+    """``of`` the blobs of each range.  Ranges lie sorted in a partition and are taken in turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blobs = None, []
+        for batch in batches:
+            for now, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if blobs and now != part:
+                    yield of(blobs)
+                    blobs = []
+                part = now
+                blobs.append(blob.as_py())
+        if blobs:
+            yield of(blobs)
+
+    return packed.select("part", "blob").repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)
+
+
 def frequent_tokens(docs: DataFrame, text: str, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens (their upper 32 bits, ascending) and their document counts."""
     parts = _parts_of(docs)
@@ -154,19 +171,19 @@ def frequent_tokens(docs: DataFrame, text: str, like: Likeness) -> tuple[np.ndar
         if sum(map(len, held)):
             yield flush()
 
-    def counted(group: pd.DataFrame) -> pd.DataFrame:
+    def counted(blobs: list[bytes]) -> pa.RecordBatch:
         # Eight bytes a token, four a count.
-        sizes = [len(b) // 12 * 8 for b in group["blob"]]
-        tokens = np.concatenate([unpack(b[:n]) for b, n in zip(group["blob"], sizes, strict=True)])
-        found = np.concatenate([np.frombuffer(b[n:], dtype="<u4") for b, n in zip(group["blob"], sizes, strict=True)])
+        sizes = [len(b) // 12 * 8 for b in blobs]
+        tokens = np.concatenate([unpack(b[:n]) for b, n in zip(blobs, sizes, strict=True)])
+        found = np.concatenate([np.frombuffer(b[n:], dtype="<u4") for b, n in zip(blobs, sizes, strict=True)])
         order = np.argsort(tokens, kind="stable")
         tokens = tokens[order]
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         counts = np.add.reduceat(found[order].astype(np.int64), starts)
         often = counts >= HOT_COUNT
-        return pd.DataFrame({"token": tokens[starts[often]].astype(np.int64), "df": counts[often]})
+        return record_batch({"token": tokens[starts[often]].astype(np.int64), "df": counts[often]}, _COUNTED)
 
-    counts = docs.select(text).mapInArrow(packed, _PACKED).groupBy("part").applyInPandas(counted, _COUNTED)
+    counts = _by_part(docs.select(text).mapInArrow(packed, _PACKED), counted, _COUNTED)
     top = counts.orderBy(F.desc("df"), "token").limit(HOT_TOKENS).toArrow()
     tokens, df = top.column("token").to_numpy(), top.column("df").to_numpy()
     order = np.argsort(tokens)
@@ -286,7 +303,7 @@ def nodes_and_postings(docs: DataFrame, text: str, like: Likeness, hot: tuple[np
                 },
                 _NODES,
             )
-            if sum(len(x[0]) for x in held) > TOKENS_PER_SORT // 4:
+            if sum(len(x[0]) for x in held) > TOKENS_PER_SORT // 2:
                 yield flush()
         if sum(len(x[0]) for x in held):
             yield flush()
@@ -294,10 +311,10 @@ def nodes_and_postings(docs: DataFrame, text: str, like: Likeness, hot: tuple[np
     return docs.mapInArrow(run, _NODES)
 
 
-def _shared_of_part(group: pd.DataFrame) -> pd.DataFrame:
+def _shared_of_part(blobs: list[bytes]) -> pa.RecordBatch:
     """Postings of the tokens of one range that more than one document has."""
     columns: list[list[np.ndarray]] = [[], [], [], []]
-    for blob in group["blob"]:
+    for blob in blobs:
         size = len(blob) // 4
         columns[0].append(unpack(blob[:size]))
         for k in (1, 2, 3):
@@ -308,15 +325,14 @@ def _shared_of_part(group: pd.DataFrame) -> pd.DataFrame:
     token, doc, n, at = token[order], doc[order], n[order], at[order]
     same = token[1:] == token[:-1]
     often = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    return pd.DataFrame(
-        {
-            "token": token[often].astype(np.int64),
-            "doc_id": doc[often].view(np.int64),
-            "n": n[often].astype(np.int32),
-            "at": at[often].astype(np.int32),
-            "typical": np.zeros(int(often.sum()), dtype=np.float32),
-        }
-    )
+    found = {
+        "token": token[often].astype(np.int64),
+        "doc_id": doc[often].view(np.int64),
+        "n": n[often].astype(np.int32),
+        "at": at[often].astype(np.int32),
+        "typical": np.zeros(int(often.sum()), dtype=np.float32),
+    }
+    return record_batch(found, _POSTING)
 
 
 def could_link(like: Likeness, a: str, b: str) -> Column:
@@ -398,7 +414,7 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     nodes = rows.filter("part is null").select("doc_id", "n", "set_id")
     # Equal sets are one node, named by its least id.
     classes = nodes.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
-    plain = rows.filter("part is not null").select("part", "blob").groupBy("part").applyInPandas(_shared_of_part, _POSTING)
+    plain = _by_part(rows.filter("part is not null"), _shared_of_part, _POSTING)
     frequent = (
         rows.filter("part is null and size(token) > 0")
         .select("doc_id", "n", "typical", F.explode(F.arrays_zip("token", "at")).alias("p"))
