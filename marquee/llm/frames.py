@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -28,6 +29,27 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, "4m")
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Spark keeps a task's Python worker for the next one,
+    and several idle workers stand beside an executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over a partition, whose memory is given back at its end."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return over
+
+
 def record_batch(columns: Columns, schema: T.StructType) -> pa.RecordBatch:
     target = to_arrow_schema(schema)
     arrays = []
@@ -80,4 +102,4 @@ def map_text(
                 offset = 0
             yield record_batch(taken, schema)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(thrifty(run), schema)

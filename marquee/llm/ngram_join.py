@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from marquee.durable import written
 from marquee.llm.bitmap import collect_bits, has, slot_of
 from marquee.llm.components import connected_components
-from marquee.llm.frames import bounded_batches, record_batch
+from marquee.llm.frames import bounded_batches, record_batch, thrifty
 from marquee.llm.words import blocks, mix, split_words
 from marquee.skew import hottest, salted_join
 
@@ -145,7 +145,7 @@ def _by_part(packed: DataFrame, of: Callable[[list[bytes]], pa.RecordBatch], sch
         if blobs:
             yield of(blobs)
 
-    return packed.select("part", "blob").repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)
+    return packed.select("part", "blob").repartition("part").sortWithinPartitions("part").mapInArrow(thrifty(run), schema)
 
 
 def frequent_tokens(docs: DataFrame, text: str, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +183,7 @@ def frequent_tokens(docs: DataFrame, text: str, like: Likeness) -> tuple[np.ndar
         often = counts >= HOT_COUNT
         return record_batch({"token": tokens[starts[often]].astype(np.int64), "df": counts[often]}, _COUNTED)
 
-    counts = _by_part(docs.select(text).mapInArrow(packed, _PACKED), counted, _COUNTED)
+    counts = _by_part(docs.select(text).mapInArrow(thrifty(packed), _PACKED), counted, _COUNTED)
     top = counts.orderBy(F.desc("df"), "token").limit(HOT_TOKENS).toArrow()
     tokens, df = top.column("token").to_numpy(), top.column("df").to_numpy()
     order = np.argsort(tokens)
@@ -308,7 +308,7 @@ def nodes_and_postings(docs: DataFrame, text: str, like: Likeness, hot: tuple[np
         if sum(len(x[0]) for x in held):
             yield flush()
 
-    return docs.mapInArrow(run, _NODES)
+    return docs.mapInArrow(thrifty(run), _NODES)
 
 
 def _shared_of_part(blobs: list[bytes]) -> pa.RecordBatch:
@@ -370,7 +370,7 @@ def sets_of(docs: DataFrame, like: Likeness, wanted: DataFrame, schema: T.Struct
                     columns[f"prefix{k}"] = _lists(upper, np.bincount(sets.doc[index], minlength=len(values)), pa.int32())
             yield record_batch(columns, schema)
 
-    return docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(thrifty(run), schema)
 
 
 _PREFIXES = T.StructType(
