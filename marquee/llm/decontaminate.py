@@ -1,13 +1,15 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of a benchmark item seeds, however many documents hold it: each document
-that shares one with an item is aligned with that item around every place of it.  A
-seed joins the passage around it to the item, and the local alignment of their words
-(case and punctuation don't count) scores exact, edited and paraphrased copies alike:
-its score over that of the whole item.
+The n-grams of the benchmark items are counted in the corpus by distinct contexts, the words
+around them: a copy that stands in a thousand documents counts once, a common phrase as often
+as it is used.  An item's seeds are its n-grams in at most ``RARE_CONTEXTS`` contexts and, in
+any case, the ``ALWAYS_SEEDS`` rarest of those that occur.  A seed joins the passage around it
+to the item, and the local alignment of their words (case and punctuation don't count) scores
+exact, edited and paraphrased copies alike: its score over that of the whole item.
 
-The corpus is filtered against a bitmap of the items' n-grams of fixed size before
-anything is shuffled; a false hit ends in the exact join that follows.
+The corpus is filtered against bitmaps of n-grams of fixed size before anything is shuffled; a
+false hit ends in the exact join that follows.  A seed with very many places, as an item of
+common phrases may have, is spread over tasks.
 
 Defined results: NULL and empty texts, items without words and rows with a NULL id
 match nothing; an item shorter than a seed seeds as a whole; equal rows give one
@@ -20,16 +22,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.durable import written
 from marquee.llm.bitmap import BITS, collect_bits, has, slot_of
-from marquee.llm.frames import bounded_batches, record_batch
+from marquee.llm.frames import bounded_batches, record_batch, thrifty
 from marquee.llm.words import blocks, mix, split_words
+from marquee.skew import hottest, salted_join
 
 SEED_WORDS = 3
+RARE_CONTEXTS = 64
+ALWAYS_SEEDS = 8
+# Words on either side that make a context.
+CONTEXT_WORDS = 4
+# Places of a seed from which on they are spread over tasks.
+HOT_PLACES = 10_000
+_PLACES_AT_ONCE = 200_000
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BATCH_CELLS = 4_000_000
@@ -38,6 +48,7 @@ _ITEMS = T.StructType(
     [T.StructField("item_id", T.LongType()), T.StructField("words", T.ArrayType(T.LongType())), T.StructField("grams", T.ArrayType(T.LongType()))]
 )
 _HITS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("gram", T.LongType()), T.StructField("at", T.IntegerType())])
+_CONTEXTS = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "context", "n")])
 _TEXTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))])
 _SCORED = T.StructType(
     [
@@ -88,29 +99,91 @@ def item_words(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
             )
 
     source = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text")).filter("item_id is not null")
-    return source.mapInArrow(run, _ITEMS).filter("size(words) > 0")
+    return source.mapInArrow(thrifty(run), _ITEMS).filter("size(words) > 0")
+
+
+def _hits(source: tuple, widths: list[int], bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """N-grams that the bitmap lets through, the places of their first words, and their widths."""
+    _, hashes, doc, bounds = source
+    runs = [_grams(hashes, doc, bounds, width) for width in widths]
+    gram, at = (np.concatenate(x) for x in zip(*runs, strict=True))
+    wide = np.repeat(widths, [len(g) for g, _ in runs])
+    hit = np.flatnonzero(has(bitmap, (gram & np.uint64(_LOW)).astype(np.int64)))
+    return gram[hit], at[hit], wide[hit]
+
+
+# The bitmap's slot of an n-gram is its low bits, so that numpy can look it up.
+_LOW = (1 << BITS) - 1
+
+
+def _bitmap_of(grams: DataFrame) -> np.ndarray:
+    return collect_bits(grams, F.col("gram").bitwiseAND(_LOW))
+
+
+def contexts_of(hashes: np.ndarray, doc: np.ndarray, bounds: np.ndarray, at: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Hash of the words on both sides of runs, as far as the text goes."""
+    out = np.full(len(at), 0xC0DE, dtype=np.uint64)
+    if not len(at):
+        return out
+    low, high = bounds[:-1][doc[at]], bounds[1:][doc[at]]
+    for k in range(1, CONTEXT_WORDS + 1):
+        for place in (at - k, at + wide + k - 1):
+            inside = (place >= low) & (place < high)
+            word = np.where(inside, hashes[place.clip(0, len(hashes) - 1)], np.uint64(0))
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + word)
+    return out
+
+
+def gram_contexts(docs: DataFrame, grams: DataFrame, widths: list[int]) -> DataFrame:
+    """(gram, contexts, places): in how many distinct contexts, and how often, an n-gram that the
+    bitmap lets through stands in the corpus.  A task sends each context once with its count."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap_of(grams))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            gram, context, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((context, gram))
+            gram, context, n = gram[order], context[order], n[order]
+            head = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])]))
+            return record_batch({"gram": gram[head].view(np.int64), "context": context[head].view(np.int64), "n": np.add.reduceat(n, head)}, _CONTEXTS)
+
+        for source in _word_lists(batches):
+            gram, at, wide = _hits(source, widths, shared.value)
+            if len(gram):
+                held.append((gram, contexts_of(*source[1:], at, wide), np.ones(len(gram), dtype=np.int64)))
+            if sum(len(h[0]) for h in held) > _PLACES_AT_ONCE:
+                yield flush()
+        if held:
+            yield flush()
+
+    found = docs.mapInArrow(thrifty(run), _CONTEXTS).groupBy("gram", "context").agg(F.sum("n").alias("n"))
+    return found.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("places"))
+
+
+def seeds_of(placed: DataFrame, counts: DataFrame) -> DataFrame:
+    """The rows of ``placed`` (one for each n-gram of an item) that seed."""
+    occurring = placed.join(counts.select("gram", "contexts"), "gram")
+    rarest = Window.partitionBy("item_id", "m").orderBy("contexts", "gram", "item_at")
+    ranked = occurring.withColumn("_rank", F.row_number().over(rarest))
+    return ranked.filter((F.col("contexts") <= RARE_CONTEXTS) | (F.col("_rank") <= ALWAYS_SEEDS)).drop("_rank", "contexts")
 
 
 def seed_hits(docs: DataFrame, grams: DataFrame, widths: list[int]) -> DataFrame:
     """(doc_id, gram, at): places in the corpus of n-grams that the bitmap lets through.
-    ``widths`` are the lengths of seeds in words: the usual one, and those of shorter items.
-
-    The bitmap's slot of an n-gram is its low bits, so that numpy can look it up.
-    """
-    low = (1 << BITS) - 1
-    shared = docs.sparkSession.sparkContext.broadcast(collect_bits(grams, F.col("gram").bitwiseAND(low)))
+    ``widths`` are the lengths of seeds in words: the usual one, and those of shorter items."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap_of(grams))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, hashes, doc, bounds in _word_lists(batches):
-            runs = [_grams(hashes, doc, bounds, width) for width in widths]
-            gram, at = (np.concatenate(x) for x in zip(*runs, strict=True))
-            hit = np.flatnonzero(has(shared.value, (gram & np.uint64(low)).astype(np.int64)))
-            owner = doc[at[hit]]
-            yield record_batch(
-                {"doc_id": ids.take(pa.array(owner)), "gram": gram[hit].view(np.int64), "at": (at[hit] - bounds[:-1][owner]).astype(np.int32)}, _HITS
-            )
+        for source in _word_lists(batches):
+            ids, _, doc, bounds = source
+            gram, at, _ = _hits(source, widths, shared.value)
+            owner = doc[at]
+            yield record_batch({"doc_id": ids.take(pa.array(owner)), "gram": gram.view(np.int64), "at": (at - bounds[:-1][owner]).astype(np.int32)}, _HITS)
 
-    return docs.mapInArrow(run, _HITS).filter("doc_id is not null")
+    return docs.mapInArrow(thrifty(run), _HITS).filter("doc_id is not null")
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,11 +269,14 @@ def contaminated(
     items = written(item_words(benchmark, item_id, text).dropDuplicates(["item_id", "words"]), "items")
     placed = items.select("item_id", F.size("words").alias("m"), F.posexplode("grams").alias("item_at", "gram"))
     widths = sorted({SEED_WORDS} | {r["m"] for r in placed.filter(F.col("m") < SEED_WORDS).select("m").distinct().collect()})
-    hits = seed_hits(source, placed.select("gram"), widths)
+    counts = written(gram_contexts(source, placed.select("gram"), widths), "gram-contexts")
+    seeds = written(seeds_of(placed, counts), "seeds")
+    hits = seed_hits(source, seeds.select("gram"), widths)
+    hot = hottest(counts.join(seeds.select("gram").distinct(), "gram", "left_semi"), ["gram"], "places", HOT_PLACES)
     # A window of three item lengths around each stretch that a seed points to.
     start = F.col("at") - F.col("item_at")
     windows = written(
-        hits.join(placed, "gram")
+        salted_join(hits, seeds, ["gram"], hot, how="inner")
         .select("doc_id", "item_id", F.floor(start / F.greatest("m", F.lit(8))).cast("int").alias("slot"), F.greatest("m", F.lit(8)).alias("m"))
         .distinct(),
         "seed-windows",
@@ -217,7 +293,7 @@ def contaminated(
         for ids, hashes, _, bounds in _word_lists(passed()):
             yield record_batch({"doc_id": ids, "words": [w.view(np.int64) for w in np.split(hashes, bounds[1:-1])]}, _TEXTS)
 
-    texts = source.select("doc_id", "text", slot_of(F.col("doc_id")).alias("slot")).mapInArrow(cut, _TEXTS)
+    texts = source.select("doc_id", "text", slot_of(F.col("doc_id")).alias("slot")).mapInArrow(thrifty(cut), _TEXTS)
     first = F.greatest(F.lit(0), F.col("slot") * F.col("m") - F.expr("m div 2"))
     pairs = (
         windows.join(texts, "doc_id")

@@ -255,6 +255,60 @@ def test_contaminated_by_a_repeated_edited_copy(spark):
     assert {r["doc_id"] for r in got} == set(range(120)) and {r["score"] for r in got} == {want}
 
 
+def test_common_phrases_do_not_seed(spark):
+    """Three-word phrases of every document stand in many contexts; an item's rare runs alone seed,
+    and an item of nothing but common phrases keeps its rarest ones."""
+    rng = random.Random(12)
+    phrases = [f"one{i} of{i} the{i}" for i in range(6)]
+    rows = [(i, " ".join(x for _ in range(6) for x in (rng.choice(phrases), prose(rng, 4, 10**6)))) for i in range(300)]
+    rare = prose(rng, 25, 10**6)
+    items = [(1, f"{rare} {phrases[0]} {phrases[1]}"), (2, " ".join(phrases))]
+    rows += [(1000, f"{prose(rng, 9, 10**6)} {items[0][1]} end"), (1001, f"{prose(rng, 9, 10**6)} {items[1][1]} end")]
+    docs, benchmark = documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")
+    placed = decontaminate.item_words(benchmark, "item_id", "text").select("item_id", F.size("words").alias("m"), F.posexplode("grams").alias("item_at", "gram"))
+    counts = decontaminate.gram_contexts(docs, placed.select("gram"), [3])
+    common = counts.filter(F.col("contexts") > decontaminate.RARE_CONTEXTS).select("gram")
+    assert common.join(placed, "gram").select("gram").distinct().count() == 6
+    seeds = decontaminate.seeds_of(placed, counts)
+    # Item 1 has rare runs enough; item 2 has its borders between phrases and, of the phrases, the rarest.
+    assert seeds.filter("item_id = 1").join(common, "gram").count() == 0
+    assert 0 < seeds.filter("item_id = 2").count() <= placed.filter("item_id = 2").count()
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got[1000, 1] == got[1001, 2] == 1.0 and (5, 1) not in got
+
+
+def test_contexts_count_copies_once(spark):
+    rng = random.Random(15)
+    item = "a b c d e f g h i j k l m n o p"
+    rows = [(i, f"{prose(rng, 8, 10**6)} {item} {prose(rng, 8, 10**6)}") for i in range(90)]
+    docs, benchmark = documents(spark, rows).repartition(7), spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    placed = decontaminate.item_words(benchmark, "item_id", "text").select("item_id", F.size("words").alias("m"), F.posexplode("grams").alias("item_at", "gram"))
+    counts = {r["gram"]: (r["contexts"], r["places"]) for r in decontaminate.gram_contexts(docs, placed.select("gram"), [3]).collect()}
+    by_place = [counts[r["gram"]] for r in placed.orderBy("item_at").collect()]
+    # Inside the copy the words around are the copy's own; near its ends they are the document's.
+    assert by_place[0] == (90, 90) and by_place[6] == (1, 90) and by_place[-1] == (90, 90)
+
+
+def test_a_seed_with_many_places_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HOT_PLACES", 5)
+    rng = random.Random(16)
+    item = "p q r s t u v w x y z"
+    rows = [(i, f"{prose(rng, 8, 10**6)} {item} {prose(rng, 8, 10**6)}") for i in range(60)]
+    got = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame([(1, item), (2, item)], "item_id bigint, text string")).collect()
+    assert len(got) == 120 and {r["score"] for r in got} == {1.0}
+
+
+def test_long_documents_are_aligned(spark):
+    """A row far longer than the others, against plain alignment of the part that matters."""
+    rng = random.Random(17)
+    words = [f"item{i}" for i in range(30)]
+    copy = [w if i % 6 else f"x{i}" for i, w in enumerate(words)]
+    rows = [(1, prose(rng, 20_000, 3000) + " " + " ".join(copy) + " " + prose(rng, 9_000, 3000)), (2, "wörd " * 30_000)]
+    got = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["score"]) for r in got] == [(1, smith_waterman(words, copy) / (decontaminate.MATCH * 30))]
+    assert 20_000 <= got[0]["start_word"] < got[0]["end_word"] <= 20_030
+
+
 def test_contaminated_of_nothing(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.contaminated(documents(spark, AWKWARD), none).collect() == []
