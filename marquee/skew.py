@@ -12,6 +12,9 @@ All three are exact for *any* set of hot keys; the set only steers the work.
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -92,15 +95,32 @@ def salted_join(
     return salted.join(repeated, on=[*keys, SALT], how=how).drop(SALT)
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def bytes_of(text: str) -> int:
+    """A setting such as ``10485760``, ``10m`` or ``256KB`` in bytes."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text).groups()
+    return int(number) * _UNITS[unit.lower()]
+
+
+def estimated_bytes(df: DataFrame) -> float:
+    """Spark's own estimate of the size of ``df``, as its cost explanation states it."""
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        df.explain(mode="cost")
+    found = re.search(r"== Optimized Logical Plan ==.*?sizeInBytes=([\d.E+]+) (\w*)B", said.getvalue(), re.S)
+    if found is None:
+        return float("inf")
+    return float(found[1]) * 1024 ** " KMGTPE".index(found[2][:1] or " ")
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own estimate puts ``df`` under its broadcast threshold,
     in which case the planner broadcasts it and no row of the other side moves.
     """
-    spark = df.sparkSession
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold) if threshold[-1:].isalpha() else int(threshold)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 0 <= size <= limit
+    limit = bytes_of(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return limit > 0 and estimated_bytes(df) <= limit
 
 
 def skew_join(

@@ -18,6 +18,14 @@ def test_query(spark, con, sf, name):
     assert ok, note
 
 
+@pytest.mark.parametrize("name", ["fm_cross_terms", "recent_items", "history_attention_pool", "train_mlp"])
+def test_query_on_more_rows(spark, name):
+    """Cases that the smallest tables do not hold, such as a user without a favourite genre."""
+    more = "/root/testdata/sf0.01"
+    ok, note = compare(spark, connect(more), name, more)
+    assert ok, note
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() > 0

@@ -271,3 +271,18 @@ def test_favourites_of_rows_without_a_key(spark):
     df = spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp bigint, line int, genres array<string>")
     cut = H.History(ties=TIES, hot_rows=5, span=7200)
     assert bag(H.running_favourites(df, "genres", 2, cut)) == bag(H.running_favourites(df, "genres", 2, PLAIN))
+
+
+def test_size_estimates(spark):
+    from marquee.durable import written
+    from marquee.skew import bytes_of, estimated_bytes, fits_broadcast
+
+    assert [bytes_of(x) for x in ("10485760", "10m", "256KB", " 2 g", "-1", "7b")] == [10485760, 10 << 20, 256 << 10, 2 << 30, -1, 7]
+    small = written(spark.range(10), "small")
+    assert 0 < estimated_bytes(small) < 20_000 and fits_broadcast(small)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit, fits in (("-1", False), ("1b", False), ("1g", True)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert fits_broadcast(small) is fits
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert estimated_bytes(small.alias("a").join(small.alias("b"), F.col("a.id") < F.col("b.id"))) > estimated_bytes(small)
