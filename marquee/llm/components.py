@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.durable import written
+from marquee.skew import hottest, salted_join
+
+MANY_LINKS = 500
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -17,19 +20,27 @@ def _fingerprint(links: DataFrame) -> tuple:
     return tuple(row)
 
 
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """Each link with ``m`` of its ``u``; the links of a node with very many are spread over tasks."""
+    hot = hottest(least, ["u"], "links", MANY_LINKS)
+    least = least.drop("links")
+    return links.join(least, "u") if hot.isEmpty() else salted_join(links, least, ["u"], hot, how="inner")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the least node around it."""
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    out = both.join(least, "u").filter(F.col("v") > F.col("u"))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("links")).select("u", F.least("u", "m").alias("m"), "links")
+    out = _with_least(both, least).filter(F.col("v") > F.col("u"))
     return out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node links its smaller neighbours, and itself, to the least of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    out = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("links"))
+    own = least.select("u", F.col("m").alias("v"))
+    out = _with_least(down, least).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own)
     return out.filter("u <> v").distinct()
 
 
