@@ -90,3 +90,10 @@ def test_a_walk_step_moves_its_frontier_only(spark):
     assert text.count("Exchange") == 1 and "Bucketed: true" in text and "SortMergeJoin" in text
     # The one exchange is on the side of the walks.
     assert "walk_id" in text[text.index("Exchange") :].split("FileScan")[0]
+
+
+def test_recent_items_sort_rows_once(spark, sf):
+    """A task holds one sorted copy of its rows, also with statistics over the same rows."""
+    r = ratings_table(spark, sf)
+    for df in (H.recent_items(r, 5, USER_HISTORY), H.user_history_features(r, 5, USER_HISTORY)):
+        assert len(re.findall(r"\bSort \[", physical(df).replace("isFinalPlan=true", ""))) == 1
