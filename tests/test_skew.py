@@ -286,3 +286,22 @@ def test_size_estimates(spark):
         assert fits_broadcast(small) is fits
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert estimated_bytes(small.alias("a").join(small.alias("b"), F.col("a.id") < F.col("b.id"))) > estimated_bytes(small)
+
+
+def test_favourites_rank_few_genres(monkeypatch):
+    """A row's favourites follow from the last ones and its own genres, however many were seen."""
+    import random
+
+    from marquee.operators import histories
+
+    rng, ranked, top = random.Random(11), [], histories._top_genres
+    monkeypatch.setattr(histories, "_top_genres", lambda counts, n: ranked.append(len(counts)) or top(counts, n))
+    counts, seen, best = {}, {}, [None] * 5
+    for _ in range(3000):
+        genres = [rng.choice([None, *[f"g{i}" for i in range(60)]]) for _ in range(rng.randint(1, 3))]
+        for g in genres:
+            if g is not None:
+                seen[g] = seen.get(g, 0) + 1
+        best = histories._favourites_after(best, counts, genres, 5)
+        assert best == top(seen, 5)
+    assert counts == seen and max(ranked) <= 8
