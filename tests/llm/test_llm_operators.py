@@ -350,6 +350,34 @@ def test_best_threshold():
     assert toxicity.best_threshold(np.array([0.9, 0.8, 0.4, 0.1]), np.array([1, 1, 0, 0])) == pytest.approx(0.6)
 
 
+def test_thresholds_of_groups_equal_the_plain_one(spark):
+    rng = np.random.default_rng(3)
+    z = np.round(rng.normal(0, 4, 600), 1)
+    rows = [("en" if i % 3 else "fr", int(rng.random() < 1 / (1 + np.exp(-x))), float(1 / (1 + np.exp(-x))), int(np.floor(x * toxicity.SCORE_RANGES))) for i, x in enumerate(z)]
+    df = spark.createDataFrame(rows, toxicity._JUDGED)
+    for lang, found in [(None, toxicity.best_thresholds(df).collect()), ("en", toxicity.best_thresholds(df, "lang").filter("lang = 'en'").collect())]:
+        mine = [r for r in rows if lang in (None, r[0])]
+        scores, labels = np.array([r[2] for r in mine]), np.array([r[1] for r in mine])
+        assert found[0]["threshold"] == pytest.approx(toxicity.best_threshold(scores, labels))
+        assert (found[0]["n"], found[0]["hits"]) == (len(mine), labels.sum())
+
+
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    """More than 5,000 texts of a class, each of their words in three of them."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    rows = [(i, f"word{i // 3}x", "en") for i in range(10_500)] + [(i, "vile", "en") for i in range(10_500, 10_700)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = toxicity.fit(docs, docs.selectExpr("doc_id", "int(text = 'vile') as toxic")).model
+    buckets, _ = toxicity.word_buckets([t for _, t, _ in rows])
+    assert (model.slot[buckets[:, 0]] > 0).all()
+
+
+def test_toxicity_of_labels_without_texts(spark):
+    docs = documents(spark, [(1, "a")]).withColumn("lang", F.lit("en"))
+    labels = spark.createDataFrame([(5, 0), (6, 1)], "doc_id bigint, toxic int")
+    assert [r["score"] for r in toxicity.score_toxicity(docs, toxicity.fit(docs, labels)).collect()] == [0.5]
+
+
 # ---- op5
 
 
