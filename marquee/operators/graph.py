@@ -15,7 +15,7 @@ from marquee.durable import written, written_bucketed
 from marquee.functions.encoders import stable_hash
 from marquee.operators.histories import History, next_item
 from marquee.operators.samples import POSITIVE, attach_scalar, positive_ratings, share_of_group
-from marquee.skew import HOT_ROWS, flag_hot, hottest, skew_join
+from marquee.skew import HOT_ROWS, flag_hot, hot_keys, hottest, skew_join
 
 # A hot source, and the table of all items, is summed in this many pieces.
 PIECES = 1024
@@ -125,11 +125,14 @@ def source_widths(edges: DataFrame) -> DataFrame:
     return by_src.select("src", "total", F.ceil(F.col("total") / F.col("fan")).alias("width"))
 
 
-def with_successor_widths(table: DataFrame, widths: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_successor_widths(
+    table: DataFrame, widths: DataFrame, hot_rows: int = HOT_ROWS, hot: Callable[[], DataFrame] | None = None
+) -> DataFrame:
     """Adds the total and width of each row's ``dst``, so a walk that arrives
-    there can draw its next bucket without another lookup.  NULL at dead ends."""
+    there can draw its next bucket without another lookup.  NULL at dead ends.
+    ``hot`` says from what to count the hot ``dst``, so that ``table`` is not computed for it."""
     ahead = widths.select(F.col("src").alias("dst"), F.col("total").alias("next_total"), F.col("width").alias("next_width"))
-    return skew_join(table, ahead, ["dst"], hot_rows=hot_rows)
+    return skew_join(table, ahead, ["dst"], hot=hot, hot_rows=hot_rows)
 
 
 def draw(walk: Column, step: int, seed: int, method: str) -> Column:
@@ -193,7 +196,10 @@ def random_walks(
     """
     edges = store(pair_counts, "edges")
     widths = source_widths(edges)
-    table = guide_table(with_successor_widths(sampling_table(edges, method, hot_rows), widths, hot_rows))
+    # On average an edge has at most two rows in the guide table; the stored edges name the hot ``dst``.
+    table = guide_table(
+        with_successor_widths(sampling_table(edges, method, hot_rows), widths, hot_rows, lambda: hot_keys(edges, ["dst"], hot_rows // 2))
+    )
     nodes = item_distribution(edges).select("item", "cnt")
     roots = with_successor_widths(start_table(nodes, method), widths, hot_rows)
     root = nodes.agg(

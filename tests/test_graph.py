@@ -4,6 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from marquee import skew
 from marquee.operators import embedding as EM
 from marquee.operators import graph as G
 from marquee.operators.histories import History
@@ -36,6 +37,26 @@ def test_walks_follow_edges_and_repeat(big_user):
     assert other != first and again.keys() == first.keys()
 
 
+def test_hot_successors_are_counted_from_the_edges(big_user, monkeypatch):
+    """Not from the guide table, which would be computed once more."""
+    counted = []
+
+    def watched(df, keys, hot_rows):
+        counted.append(df.columns)
+        return plain(df, keys, hot_rows)
+
+    plain = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", watched)
+    monkeypatch.setattr(G, "hot_keys", watched)
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
+    counts = G.item_pair_counts(G.adjacent_pairs(big_user, TIES))
+    walks = {r.walk_id: r["items"] for r in G.random_walks(counts, 40, 4, seed=1, hot_rows=8).collect()}
+    # The start table, of one root, is counted itself.
+    assert ["src", "dst", "cnt"] in counted and sum("bucket" in columns for columns in counted) == 1
+    monkeypatch.undo()
+    assert walks == {r.walk_id: r["items"] for r in G.random_walks(counts, 40, 4, seed=1, hot_rows=8).collect()}
+
+
 def test_walk_stops_at_a_dead_end(spark):
     counts = spark.createDataFrame([("a", "b", 3), ("b", "c", 1)], "src string, dst string, cnt bigint")
     for r in G.random_walks(counts, 50, 9).collect():
