@@ -294,7 +294,9 @@ def bucket_counts(packed: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, texts in _block_rows(batches):
-            found = np.bincount(np.concatenate([np.unique(t) for t in texts]), minlength=1 << BUCKET_BITS)
+            found = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+            for t in texts:
+                found[np.unique(t)] += 1
             ids = np.flatnonzero(found)
             yield record_batch({"bucket": ids.astype(np.int32), "half": np.full(len(ids), row["block"] % 2), "n": found[ids]}, _IN_TEXTS)
 
@@ -345,14 +347,17 @@ def train_blocks(packed: DataFrame, texts_of: np.ndarray, number: int, seed: int
         def fit_block(batches: Iterator[pa.RecordBatch], turn: int = turn, shared=shared) -> Iterator[pa.RecordBatch]:
             whole = shared.value
             for row, buckets in _block_rows(batches):
-                texts = [whole.slot[b] for b in buckets]
-                own = np.union1d([0], np.unique(np.concatenate(texts))).astype(np.int32)
+                # Rows of the embedding in this block, and their places in a local one.
+                mark = np.arange(len(whole.embedding)) == 0
+                for b in buckets:
+                    mark[whole.slot[b]] = True
+                own, place = np.flatnonzero(mark).astype(np.int32), np.cumsum(mark, dtype=np.int32) - 1
                 local = _with_dense(whole, _dense(whole))
                 local.embedding = whole.embedding[own]
-                passes = max(1, round(LEAST_STEPS * BATCH / (EPOCHS * len(texts))))
-                here = [np.searchsorted(own, t) for t in texts]
+                passes = max(1, round(LEAST_STEPS * BATCH / (EPOCHS * len(buckets))))
+                here = [place[whole.slot[b]] for b in buckets]
                 fit_texts(local, here, np.array(row["labels"], np.float32), passes, np.random.default_rng([seed, turn, row["block"]]))
-                n, moved = len(texts), np.flatnonzero((local.embedding != whole.embedding[own]).any(axis=1))
+                n, moved = len(buckets), np.flatnonzero((local.embedding != whole.embedding[own]).any(axis=1))
                 blobs = {"dense": (_dense(local) * n).tobytes(), "rows": own[moved].tobytes(), "sums": (local.embedding[moved] * n).astype(np.float32).tobytes()}
                 yield record_batch({"slot": [row["block"]], "n": [n], **{k: [v] for k, v in blobs.items()}, "held": [None]}, _FIT)
 
