@@ -17,7 +17,7 @@ score is the share of positive labels (0.5 without labels).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.durable import written
-from marquee.llm.frames import bounded_batches, map_text, record_batch, thrifty
+from marquee.llm.frames import bounded_batches, give_back, map_text, record_batch, squeeze, thrifty, unsqueeze
 from marquee.llm.words import blocks, mix, split_words
 
 BLOCK_TEXTS = 16_384
-FAN_IN = 32  # fits that are averaged together
+FAN_IN = 8  # fits that are averaged together
 BUCKET_BITS = 20
 PREFIX_BYTES = 4
 LEAST_TEXTS = 3  # words in fewer labelled texts have no embedding
@@ -104,6 +104,27 @@ def _bucketed(texts: list[str | None]) -> list[np.ndarray]:
     return np.split(buckets, bounds[1:-1])
 
 
+@dataclass
+class Texts(Sequence):
+    """Texts as pairs of numbers, one of each word, whose distinct ones are held once."""
+
+    pairs: np.ndarray
+    places: np.ndarray
+    bounds: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def __getitem__(self, i):
+        if isinstance(i, slice):
+            return [self[k] for k in range(*i.indices(len(self)))]
+        return self.pairs[self.places[self.bounds[i] : self.bounds[i + 1]]]
+
+    def renamed(self, to: np.ndarray) -> Texts:
+        """With ``to[number]`` in place of each number."""
+        return Texts(to[self.pairs], self.places, self.bounds)
+
+
 class _Adam:
     """Adam on dense arrays, and on rows of an array."""
 
@@ -146,7 +167,7 @@ def train(buckets: list[np.ndarray], labels: np.ndarray, seed: int = 17) -> Mode
     return model
 
 
-def fit_texts(model: Model, texts: list[np.ndarray], labels: np.ndarray, passes: int, rng: np.random.Generator) -> None:
+def fit_texts(model: Model, texts: Sequence[np.ndarray], labels: np.ndarray, passes: int, rng: np.random.Generator) -> None:
     """Adam from the weights of ``model``, which change, over texts as rows of its embedding."""
     adam = _Adam(0.01)
     bias = np.array([model.bias], np.float32)
@@ -154,10 +175,11 @@ def fit_texts(model: Model, texts: list[np.ndarray], labels: np.ndarray, passes:
         order = rng.permutation(len(texts))
         for begin in range(0, len(order), BATCH):
             chosen = order[begin : begin + BATCH]
-            counts = [len(texts[i]) for i in chosen]
+            picked = [texts[i] for i in chosen]
+            counts = [len(t) for t in picked]
             bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
             model.bias = float(bias[0])
-            pooled, windows = model.pooled(np.concatenate([texts[i] for i in chosen]), bounds)
+            pooled, windows = model.pooled(np.concatenate(picked), bounds)
             active = np.maximum(pooled, 0)
             p = 1 / (1 + np.exp(-(active @ model.weight + model.bias)))
             error = ((p - labels[chosen]) / len(chosen)).astype(np.float32)
@@ -231,7 +253,9 @@ _BLOCK = T.StructType(
         T.StructField("block", T.LongType()),
         T.StructField("labels", T.ArrayType(T.IntegerType())),
         T.StructField("langs", T.ArrayType(T.StringType())),
-        T.StructField("buckets", T.ArrayType(T.BinaryType())),
+        T.StructField("counts", T.BinaryType()),
+        T.StructField("pairs", T.BinaryType()),
+        T.StructField("words", T.ArrayType(T.BinaryType())),
     ]
 )
 _IN_TEXTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("half", T.IntegerType()), T.StructField("n", T.LongType())])
@@ -246,6 +270,34 @@ _JUDGED = T.StructType(
 )
 
 
+class Packer:
+    """The texts of a block in turn as one row: the distinct pairs of buckets once, the words
+    as places among them.  A row is about a quarter of the texts' buckets."""
+
+    def __init__(self, block: int):
+        self.block = block
+        self.labels: list[int] = []
+        self.langs: list[str | None] = []
+        self.counts: list[np.ndarray] = []
+        self.parts: list[tuple[np.ndarray, bytes]] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Rows of the block, as in ``_TEXT``."""
+        self.labels += batch.column(2).to_pylist()
+        self.langs += batch.column(3).to_pylist()
+        texts = [np.frombuffer(b, np.int32).reshape(-1, 2) for b in batch.column(4).to_pylist()]
+        self.counts.append(np.array([len(t) for t in texts], dtype=np.int32))
+        words = np.concatenate(texts).astype(np.uint64)
+        distinct, index = np.unique(words[:, 0] << np.uint64(BUCKET_BITS) | words[:, 1], return_inverse=True)
+        self.parts.append((distinct, squeeze(index, np.uint32)))
+
+    def row(self) -> pa.RecordBatch:
+        every = np.unique(np.concatenate([d for d, _ in self.parts]))
+        words = [squeeze(np.searchsorted(every, d)[unsqueeze(w, np.uint32)], np.uint32) for d, w in self.parts]
+        columns = {"counts": np.concatenate(self.counts).tobytes(), "pairs": squeeze(np.diff(every, prepend=np.uint64(0)), np.uint64), "words": words}
+        return record_batch({"block": [self.block], "labels": [self.labels], "langs": [self.langs], **{k: [v] for k, v in columns.items()}}, _BLOCK)
+
+
 def text_blocks(docs: DataFrame, marked: DataFrame, total: int) -> DataFrame:
     """Every labelled text as buckets, a row for each block of about ``BLOCK_TEXTS`` texts at most.
 
@@ -263,30 +315,35 @@ def text_blocks(docs: DataFrame, marked: DataFrame, total: int) -> DataFrame:
                 yield record_batch({**columns, "buckets": [x.tobytes() for x in _bucketed(texts[a:b])]}, _TEXT)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(block: int, texts: list[dict]) -> pa.RecordBatch:
-            columns = {"labels": "label", "langs": "lang", "buckets": "buckets"}
-            return record_batch({"block": [block], **{n: [[t[c] for t in texts]] for n, c in columns.items()}}, _BLOCK)
-
-        waiting: list[dict] = []
+        packer: Packer | None = None
         for batch in batches:
-            for text in batch.to_pylist():
-                if waiting and waiting[0]["block"] != text["block"]:
-                    yield row(waiting[0]["block"], waiting)
-                    waiting = []
-                waiting.append(text)
-        if waiting:
-            yield row(waiting[0]["block"], waiting)
+            of = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if b > a:
+                    if packer is not None and packer.block != of[a]:
+                        yield packer.row()
+                        packer = None
+                    packer = packer or Packer(int(of[a]))
+                    packer.add(batch.slice(a, b - a))
+        if packer is not None:
+            yield packer.row()
 
     cut_up = chosen.mapInArrow(thrifty(cut), _TEXT).repartition("block").sortWithinPartitions("block", "doc_id", "label", "lang", "buckets")
     return written(cut_up.mapInArrow(thrifty(pack), _BLOCK), "toxicity-blocks")
 
 
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[np.ndarray]]]:
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Texts]]:
     """One block at a time, and its texts as buckets."""
+    low = np.uint64((1 << BUCKET_BITS) - 1)
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            yield row, [np.frombuffer(b, np.int32).reshape(-1, 2) for b in row["buckets"]]
+            keys = np.cumsum(unsqueeze(row.pop("pairs"), np.uint64), dtype=np.uint64)
+            pairs = np.stack([keys >> np.uint64(BUCKET_BITS), keys & low], axis=1).astype(np.int32)
+            counts = np.frombuffer(row.pop("counts"), np.int32)
+            places = np.concatenate([unsqueeze(w, np.uint32) for w in row.pop("words")])
+            yield row, Texts(pairs, places, np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]))
 
 
 def bucket_counts(packed: DataFrame) -> np.ndarray:
@@ -324,6 +381,13 @@ def _with_dense(model: Model, values: np.ndarray) -> Model:
 def _summed(group: pd.DataFrame) -> pd.DataFrame:
     """Sums of weighted fits, in order of the blocks they come from; ``held`` counts the texts
     behind a row of the embedding, all those of a single block."""
+    try:
+        return _sum_of(group)
+    finally:
+        give_back()
+
+
+def _sum_of(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values(["slot", "n"])
     rows = [np.frombuffer(b, np.int32) for b in group["rows"]]
     every = np.unique(np.concatenate(rows))
@@ -349,13 +413,12 @@ def train_blocks(packed: DataFrame, texts_of: np.ndarray, number: int, seed: int
             for row, buckets in _block_rows(batches):
                 # Rows of the embedding in this block, and their places in a local one.
                 mark = np.arange(len(whole.embedding)) == 0
-                for b in buckets:
-                    mark[whole.slot[b]] = True
+                mark[whole.slot[buckets.pairs]] = True
                 own, place = np.flatnonzero(mark).astype(np.int32), np.cumsum(mark, dtype=np.int32) - 1
                 local = _with_dense(whole, _dense(whole))
                 local.embedding = whole.embedding[own]
                 passes = max(1, round(LEAST_STEPS * BATCH / (EPOCHS * len(buckets))))
-                here = [place[whole.slot[b]] for b in buckets]
+                here = buckets.renamed(place[whole.slot])
                 fit_texts(local, here, np.array(row["labels"], np.float32), passes, np.random.default_rng([seed, turn, row["block"]]))
                 n, moved = len(buckets), np.flatnonzero((local.embedding != whole.embedding[own]).any(axis=1))
                 blobs = {"dense": (_dense(local) * n).tobytes(), "rows": own[moved].tobytes(), "sums": (local.embedding[moved] * n).astype(np.float32).tobytes()}

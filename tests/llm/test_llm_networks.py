@@ -98,6 +98,27 @@ def test_convolution_gradients_equal_differences(trained):
             assert (up - down) / float(ahead + step) == pytest.approx(gradient[at], rel=0.05, abs=2e-4), name
 
 
+def test_a_block_of_texts_is_packed(spark):
+    """A row holds each distinct word once and gives the texts back, in order and with their labels."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["good", "bad", f"word{rng.randrange(500)}"]) for _ in range(rng.randrange(300))), "en" if i % 3 else None) for i in range(400)]
+    docs = spark.createDataFrame([*rows, (400, None, "fr"), (401, "", "fr")], "doc_id long, text string, lang string").repartition(5)
+    marked = docs.selectExpr("doc_id", "int(doc_id % 2) as label")
+    packed = toxicity.text_blocks(docs, marked, 402).toArrow().to_batches()
+    texts = {d: t for d, t, _ in rows}
+    seen = 0
+    for row, found in toxicity._block_rows(iter(packed)):
+        assert len(found) == len(row["labels"]) == len(row["langs"])
+        ids = sorted(r["doc_id"] for r in marked.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) as block").filter(f"block = {row['block']}").collect())
+        want = toxicity._bucketed([texts.get(i) for i in ids])
+        assert all(np.array_equal(a, b) for a, b in zip(found, want, strict=True)) and row["labels"] == [i % 2 for i in ids]
+        seen += len(found)
+    assert seen == 402
+    # Words were 8 bytes each.
+    size = sum(len(b) for row in spark.createDataFrame(packed[0].to_pandas()).collect() for b in row["words"])
+    assert size * 2 < 8 * sum(len(t.split()) for t in texts.values())
+
+
 # ---- attention
 
 
