@@ -184,6 +184,31 @@ def test_whole_score_by_loops(spark):
         assert got[d] == pytest.approx(want, abs=1e-3)
 
 
+def test_pieces_of_a_word_are_encoded_once():
+    odd = ["Qué", "a\u00a0b", "x\u2003y", "\u3000", "tab\x1cz", "naïve", "\u0085q", "日本", "\u1680m", "can't", "123abc", "\u200bz", "emoji😀"]
+    encoding = attention_lm._encoding(attention_lm.VOCABULARY)
+    asked = []
+
+    class Watched:
+        def encode_to_numpy(self, text, **options):
+            asked.append(text)
+            return encoding.encode_to_numpy(text, **options)
+
+        def encode_ordinary(self, text):
+            asked.append(text)
+            return encoding.encode_ordinary(text)
+
+    pieces = attention_lm.Pieces(Watched())
+    for listed in (["plain", *odd], [*odd, "more"], [*odd, "plain"]):
+        words = attention_lm.split_words([" ".join(listed)])
+        hashes, first = np.unique(words.hashes(lower=True), return_index=True)
+        flat, lengths = pieces(hashes, words.raw, words.starts[first], words.ends[first])
+        want = [encoding.encode_ordinary(" " + words.bytes_of(i).lower().decode()) for i in first]
+        assert flat.tolist() == [x for w in want for x in w] and lengths.tolist() == [len(w) for w in want]
+    assert sum(t.count("plain") for t in asked) == 1 and sum(t.count("日本") for t in asked) == 1
+    assert sum(t.count("more") for t in asked) == 1
+
+
 def test_weights_are_averaged_by_windows(spark):
     rng = np.random.default_rng(2)
     fits = [(slot, int(rng.integers(1, 9)), rng.normal(size=5)) for slot in range(700)]
