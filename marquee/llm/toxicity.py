@@ -17,6 +17,7 @@ score is the share of positive labels (0.5 without labels).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.durable import written
-from marquee.llm.frames import bounded_batches, give_back, map_text, record_batch, squeeze, thrifty, unsqueeze
+from marquee.llm.bitmap import collect_bits, has, slot_of
+from marquee.llm.frames import ROWS_AT_ONCE, bounded_batches, give_back, map_text, record_batch, squeeze, thrifty, unsqueeze
 from marquee.llm.words import blocks, mix, split_words
 
 BLOCK_TEXTS = 16_384
@@ -44,6 +46,7 @@ EPOCHS = 5
 LEAST_STEPS = 600  # a small block is gone through more often
 BATCH = 32
 BLOCK_CHARS = 500_000
+HELD_BYTES = 4 << 20  # of buckets on their way into a block
 MIN_LANGUAGE_ROWS = 20
 SCORE_RANGES = 16  # ranges of a unit of the logit in which thresholds are sought
 
@@ -302,17 +305,22 @@ class Packer:
 def text_blocks(docs: DataFrame, marked: DataFrame, total: int) -> DataFrame:
     """Every labelled text as buckets, a row for each block of about ``BLOCK_TEXTS`` texts at most.
 
-    The number of blocks is even, so that they have halves."""
+    The number of blocks is even, so that they have halves.  No text is moved: a bitmap of the
+    labelled ids says where buckets are worth while, and these go to their block once, where
+    they meet their labels."""
     number = 2 * -(-total // (2 * BLOCK_TEXTS))
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(number)).alias("block")
-    chosen = docs.select("doc_id", "text", "lang").join(marked, "doc_id").select(block, "doc_id", "label", "lang", "text")
+    key = F.col("doc_id").cast("bigint")
+    block = F.pmod(F.xxhash64(key), F.lit(number)).alias("block")
+    named = docs.filter("doc_id is not null").select(block, key.alias("doc_id"), slot_of(key).alias("slot"), "lang", "text")
+    bits = docs.sparkSession.sparkContext.broadcast(collect_bits(marked, slot_of(key)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(4).to_pylist()
+            likely = batch.filter(pa.array(has(bits.value, batch.column(2).to_numpy())))
+            texts = likely.column(4).to_pylist()
             for a, b in blocks(texts):
-                part = batch.slice(a, b - a)
-                columns = {f.name: part.column(i) for i, f in enumerate(_TEXT.fields[:4])}
+                part = likely.slice(a, b - a)
+                columns = {"block": part.column(0), "doc_id": part.column(1), "label": [None] * (b - a), "lang": part.column(3)}
                 yield record_batch({**columns, "buckets": [x.tobytes() for x in _bucketed(texts[a:b])]}, _TEXT)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,8 +338,49 @@ def text_blocks(docs: DataFrame, marked: DataFrame, total: int) -> DataFrame:
         if packer is not None:
             yield packer.row()
 
-    cut_up = chosen.mapInArrow(thrifty(cut), _TEXT).repartition("block").sortWithinPartitions("block", "doc_id", "label", "lang", "buckets")
-    return written(cut_up.mapInArrow(thrifty(pack), _BLOCK), "toxicity-blocks")
+    none = F.lit(None)
+    given = marked.select(block, key.alias("doc_id"), "label", none.cast("string").alias("lang"), none.cast("binary").alias("buckets"))
+    both = named.mapInArrow(thrifty(cut), _TEXT).unionByName(given)
+    placed = both.repartition("block").sortWithinPartitions("block", "doc_id", F.col("buckets").isNotNull(), "label", "lang", "buckets")
+    return written(placed.mapInArrow(thrifty(lambda batches: pack(_labelled(batches))), _BLOCK), "toxicity-blocks")
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with each of their labels, from rows in which the labels of an id (without buckets)
+    come before its texts; ids that only one side has give nothing."""
+    rows: list[tuple] = []
+    size = 0
+    for row in _joined(batches):
+        rows.append(row)
+        size += len(row[-1])
+        if size >= HELD_BYTES or len(rows) >= ROWS_AT_ONCE:
+            yield record_batch(dict(zip(_TEXT.names, zip(*rows, strict=True), strict=True)), _TEXT)
+            rows, size = [], 0
+    if rows:
+        yield record_batch(dict(zip(_TEXT.names, zip(*rows, strict=True), strict=True)), _TEXT)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows as in ``_TEXT``: of each id by label, each text as often as the label is given."""
+    of, labels, texts = None, Counter(), []
+    for batch in batches:
+        for block, doc_id, label, lang, buckets in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if doc_id != of:
+                yield from _by_label(labels, texts)
+                of, labels, texts = doc_id, Counter(), []
+            if buckets is None:
+                labels[label] += 1
+            elif len(labels) == 1:
+                yield from _by_label(labels, [(block, doc_id, lang, buckets)])
+            elif labels:
+                texts.append((block, doc_id, lang, buckets))
+    yield from _by_label(labels, texts)
+
+
+def _by_label(labels: Counter, texts: list[tuple]) -> Iterator[tuple]:
+    for label, times in sorted(labels.items()):
+        for block, doc_id, lang, buckets in texts:
+            yield from [(block, doc_id, label, lang, buckets)] * times
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Texts]]:

@@ -119,6 +119,26 @@ def test_a_block_of_texts_is_packed(spark):
     assert size * 2 < 8 * sum(len(t.split()) for t in texts.values())
 
 
+def test_labelled_texts_move_once_as_buckets(spark, monkeypatch):
+    """However big the labels, one exchange brings buckets to blocks; ids may repeat on both sides."""
+    rows = [(i % 40, f"some words of number {i}", "en" if i % 3 else None) for i in range(100)] + [(None, "no id", "en"), (50, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    given = [(i, i % 2) for i in range(0, 60, 2)] + [(4, 1), (4, 1), (6, 0), (77, 1)]
+    marked = spark.createDataFrame(given, "doc_id long, label int")
+    monkeypatch.setattr(toxicity, "written", lambda df, label: df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        packed = toxicity.text_blocks(docs, marked, len(given))
+        assert packed._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(") == 1
+        found = packed.toArrow().to_batches()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = sorted((label, lang or "", toxicity._bucketed([text])[0].tobytes()) for d, text, lang in rows for i, label in given if d == i)
+    got = [(label, lang or "", t.tobytes()) for row, texts in toxicity._block_rows(iter(found)) for label, lang, t in zip(row["labels"], row["langs"], texts, strict=True)]
+    assert sorted(got) == want
+
+
 # ---- attention
 
 
