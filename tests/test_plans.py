@@ -97,3 +97,23 @@ def test_recent_items_sort_rows_once(spark, sf):
     r = ratings_table(spark, sf)
     for df in (H.recent_items(r, 5, USER_HISTORY), H.user_history_features(r, 5, USER_HISTORY)):
         assert len(re.findall(r"\bSort \[", physical(df).replace("isFinalPlan=true", ""))) == 1
+
+
+def test_samples_meet_movies_before_they_are_wide(spark, big_user):
+    """With movies too big to broadcast, no shuffle by movie carries what users bring."""
+    from marquee.plans.training_samples import training_samples
+
+    movies = spark.createDataFrame([(i, f"Film {i} (1990)", "A|B") for i in range(1, 41)], "movieId bigint, title string, genres string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = training_samples(big_user, movies, H.History(ties=("line", "movieId", "rating")))
+        text = physical(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin [movieId" in line]
+    windows = [i for i, line in enumerate(lines) if re.search(r"Window .*userId", line) and "GroupLimit" not in line]
+    # A tree is printed from its result down: windows over users stand above the join by movie.
+    first = [i for i in joins if "LeftOuter" in lines[i]]
+    assert windows and first and all(min(windows) < i for i in first)
