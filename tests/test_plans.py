@@ -117,3 +117,26 @@ def test_samples_meet_movies_before_they_are_wide(spark, big_user):
     # A tree is printed from its result down: windows over users stand above the join by movie.
     first = [i for i in joins if "LeftOuter" in lines[i]]
     assert windows and first and all(min(windows) < i for i in first)
+
+
+def test_a_movie_listed_twice_repeats_samples_only(spark, big_user):
+    """A sample for each of its rows in the catalogue; the histories of users count a rating once."""
+    from collections import Counter
+
+    from marquee.plans.training_samples import training_samples
+
+    listed = [(i, f"Film {i} (1990)", "A|B") for i in range(1, 41)]
+    history = H.History(ties=("line", "movieId", "rating"))
+    of_user = ["userId", "movieId", "timestamp", "line", "rating", "userRatingCount", "userAvgRating", "userRatingStddev", *[f"userRatedMovie{i}" for i in range(1, 6)]]
+
+    def samples(rows):
+        movies = spark.createDataFrame(rows, "movieId bigint, title string, genres string")
+        return training_samples(big_user, movies, history)
+
+    once, twice = samples(listed), samples([*listed, (7, "Film 7 (1991)", "C")])
+    assert once.columns == twice.columns
+    want = Counter()
+    for row in once.select(*of_user).collect():
+        want[row] += 2 if row.movieId == 7 else 1
+    assert Counter(twice.select(*of_user).collect()) == want
+    assert {r.releaseYear for r in twice.filter("movieId = 7").select("releaseYear").collect()} == {1990, 1991}
