@@ -244,3 +244,62 @@ def test_rounds_cover_all_blocks_once():
     names = [f"{p}-{i}" for p in range(40) for i in range(10)]
     shares = [sum(zlib.crc32(n.encode()) % attention_lm.ROUNDS == k for n in names) for k in range(attention_lm.ROUNDS)]
     assert sum(shares) == 400 and min(shares) > 80
+
+
+def test_every_id_is_trained_and_scored_by_loops(spark):
+    """A token is the class of its first id and then a token of the corpus, by its count, or its
+    ids one by one: later ids of a word are trained on and scored like the first."""
+    rng = random.Random(9)
+    vocabulary = [f"{rng.choice('bdk')}{rng.choice('aou')}lmqx{rng.randrange(90)}" for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 3)))) for i in range(40)] + [(41, "neverseenbefore7"), (45, "neverseen qqzx")]
+    docs = spark.createDataFrame([(d, t, d % 5 in (0, 1)) for d, t in rows], "doc_id long, text string, held boolean")
+    chunks = attention_lm.written(attention_lm.word_chunks(docs), "lm-chunks")
+    encoding = attention_lm._encoding(attention_lm.VOCABULARY)
+    spelled = lambda w: encoding.encode_ordinary(" " + w) if w else [attention_lm.END]
+    of_words, of_ids, firsts = {}, np.zeros(attention_lm.N_IDS, np.int64), np.zeros(attention_lm.N_IDS, np.int64)
+    for d, t in rows:
+        if d % 5 not in (0, 1):
+            for word in [*t.split(), None]:
+                of_words[word] = of_words.get(word, 0) + 1
+                np.add.at(of_ids, spelled(word), 1)
+                firsts[spelled(word)[0]] += 1
+    counts, begun = attention_lm.subword_counts(chunks)
+    assert (counts == of_ids).all() and (begun == firsts).all()
+    classes = attention_lm.Classes.from_counts(counts, begun)
+    net, shares = attention_lm.Network.fresh(counts, classes), classes.log_shares(counts)
+    kinds = attention_lm.SINGLE_CLASSES + attention_lm.BAND_CLASSES
+    tokens, distinct = np.zeros((2, kinds), dtype=np.int64)
+    for w, c in of_words.items():
+        tokens[classes.of[spelled(w)[0]]] += c
+        distinct[classes.of[spelled(w)[0]]] += 1
+    sizes = np.bincount(classes.of, weights=of_ids + 1.0, minlength=kinds)
+    answers = attention_lm.word_counts(chunks, classes)
+    scored = attention_lm.score_chunks(chunks, answers, net, classes, tokens, distinct, of_words[None], shares)
+    got = {r["doc_id"]: r["score"] for r in scored.collect()}
+    later = 0
+    for d, t in rows:
+        words = [*t.split(), None]
+        ids = [i for w in words for i in spelled(w)]
+        assert len(ids) <= attention_lm.WINDOW
+        by_class, at, want = plain_score(net, classes, ids, range(len(ids))), 0, 0.0
+        for w in words:
+            own, kind = spelled(w), classes.of[ids[at]]
+            letters = math.log((of_ids[own[0]] + 1) / sizes[kind])
+            for k in range(1, len(own)):
+                letters += by_class[at + k] + math.log((of_ids[own[k]] + 1) / sizes[classes.of[own[k]]])
+            total = tokens[kind] + distinct[kind]
+            inside = math.log((of_words.get(w, 0) + distinct[kind] * math.exp(letters)) / total) if total else letters
+            want, at, later = want + by_class[at] + inside, at + len(own), later + len(own) - 1
+        assert got[d] == pytest.approx(want / math.log(10), abs=2e-3)
+    assert later > 2 * len(rows)
+    for row in (c.asDict() for c in chunks.collect()):
+        chunk = attention_lm.Chunk.of(row)
+        ids, _, starts = attention_lm.sequences(row, chunk)
+        taught = sum(len(x) for x, held in zip(np.split(ids, starts[1:]), chunk.held, strict=True) if not held)
+        assert int((attention_lm.training_windows(row, chunk)[:, 1:] & 1).sum()) == taught
+
+
+def test_a_long_new_word_has_a_finite_score():
+    by_class, in_class = np.full(4000, -4.0), np.full(4000, -6.0)
+    got = attention_lm.token_log_probabilities(by_class, in_class, np.array([0, 3999]), np.array([0, 5]), np.array([9, 0]), np.array([3, 0]))
+    assert got == pytest.approx([-4 + math.log(3 / 12) - 6 - 3998 * 10, -10])
