@@ -140,3 +140,11 @@ def test_a_movie_listed_twice_repeats_samples_only(spark, big_user):
         want[row] += 2 if row.movieId == 7 else 1
     assert Counter(twice.select(*of_user).collect()) == want
     assert {r.releaseYear for r in twice.filter("movieId = 7").select("releaseYear").collect()} == {1990, 1991}
+
+
+def test_samples_as_of_move_by_movie_while_narrow(spark, sf):
+    """What users bring is added last: the exchange by movie lies below the one by user."""
+    text = physical(entry_points.queries()["training_samples_as_of"](spark, sf))
+    assert 0 < text.index("hashpartitioning(userId") < text.index("hashpartitioning(movieId")
+    by_movie = text[text.index("hashpartitioning(movieId") :]
+    assert "userRatedMovie" not in by_movie and "userGenre" not in by_movie
